@@ -145,8 +145,13 @@ class VersionedTable:
         return sorted((Commit(**r.asDict()) for r in rows), key=lambda c: c.version)
 
     def _publish(self, commit: Commit) -> int:
-        row = [tuple(getattr(commit, f.name) for f in LOG_SCHEMA)]
-        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._log_path)
+        def literal(f: T.StructField) -> Column:
+            value = getattr(commit, f.name)
+            value = F.array(*map(F.lit, value)) if isinstance(value, list) else F.lit(value)
+            return value.cast(f.dataType).alias(f.name)
+
+        row = self.spark.range(1, numPartitions=1).select(*map(literal, LOG_SCHEMA))
+        row.write.mode("append").parquet(self._log_path)
         return commit.version
 
     def history(self) -> DataFrame:
