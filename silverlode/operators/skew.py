@@ -11,11 +11,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this share of all rows on, and from this many rows on.
-HOT_SHARE = 0.01
+# A key is hot from this share of all rows on, if that is also this many rows.
+HOT_SHARE = 0.0005
 HOT_ROWS = 1_000_000
-_TRACKED = 1024      # sketch size: sees every key above about 0.13 % of the rows
-_REPORTED = 128      # more than 1 / HOT_SHARE, so no hot key can be crowded out
+_TRACKED = 8192      # sketch size: sees every key above about 0.016 % of the rows
+_REPORTED = 2000     # 1 / HOT_SHARE, so no hot key can be crowded out
 _MERGE_SLOTS = 64    # sketches are merged in two levels, never all in one task
 
 
@@ -29,7 +29,7 @@ def hot_key_hashes(
     """Hashes of the keys that hold at least ``share`` of the rows.
 
     One narrow scan of the key columns, aggregated map-side into frequent-item
-    sketches; at most ``1 / share`` numbers reach the driver.
+    sketches; at most ``1 / HOT_SHARE`` numbers reach the driver.
     """
     per_slot = (
         df.select(key_hash(keys).alias("h"), (F.spark_partition_id() % _MERGE_SLOTS).alias("slot"))

@@ -31,7 +31,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from silverlode.schemas import struct
 from silverlode.session import path_bytes, path_exists, remove_path
@@ -88,32 +87,24 @@ def _merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
 
 
 def resolve_upserts(rows: DataFrame, upserts: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of a table given what was appended (``rows``) and upserted, both with
-    ``_version``.  A row is replaced by a later upsert of its key; NULL keys match
-    nothing.
+    """Drop the rows that a later upsert replaced.
 
-    A key occurs once per upsert, so its group is never larger than the number of
-    commits, and ``row_number = 1`` is pre-filtered before the shuffle.
+    ``rows`` is everything a version is made of, with ``_version``; ``upserts`` is
+    the part of it that was upserted.  A row goes when its key was upserted in a
+    later version.  NULL keys match nothing and stay.
+
+    The newest upsert per key is a map-side combined maximum over the key columns
+    alone.  The anti join broadcasts it if its measured size allows, so a table
+    with few pending upserts is read without a shuffle.
     """
-    keyed = F.col(keys[0]).isNotNull()
-    for k in keys[1:]:
-        keyed = keyed & F.col(k).isNotNull()
-    newest_first = Window.partitionBy(*keys).orderBy(F.col(_VERSION).desc())
     newest = (
-        upserts.where(keyed)
-        .withColumn("_rank", F.row_number().over(newest_first))
-        .where("_rank = 1").drop("_rank")
+        upserts.dropna(subset=keys).groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        .agg(F.max(_VERSION).alias("_upserted_in"))
     )
-    marks = newest.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                          F.col(_VERSION).alias("_upserted_in"))
     replaced = F.col(_VERSION) < F.col("_upserted_in")
     for i, k in enumerate(keys):
         replaced = replaced & (F.col(k) == F.col(f"_k{i}"))
-    return (
-        rows.join(marks, replaced, "left_anti")
-        .unionByName(newest)
-        .unionByName(upserts.where(~keyed))
-    )
+    return rows.join(newest, replaced, "left_anti")
 
 
 class VersionedTable:
@@ -221,6 +212,17 @@ class VersionedTable:
         live = self._live(commits, version)
         return self._assemble(live, next(c for c in numbered if c.version == version).struct)
 
+    def read_since(self, after: int, upto: int) -> tuple[DataFrame | None, bool]:
+        """Rows of version ``upto`` that commits later than ``after`` wrote (None if
+        there are none), and whether those commits rewrote older rows as well.
+        Directories of earlier commits are not even listed."""
+        commits = self._commits()
+        live = [c for c in self._live(commits, upto) if c.version > after]
+        if not live:
+            return None, False
+        schema = next(c for c in commits if c.version == upto and c.kind != EXPIRE).struct
+        return self._assemble(live, schema), any(c.kind == OVERWRITE for c in live)
+
     def read_at(self, moment: dt.datetime) -> DataFrame:
         return self.read(self.version_at(moment))
 
@@ -228,9 +230,8 @@ class VersionedTable:
         upserts = [c for c in live if c.kind == UPSERT]
         if not upserts:
             return self._scan(live, schema)      # nothing to resolve: one plain scan
-        plain = [c for c in live if c.kind != UPSERT]
         return resolve_upserts(
-            self._scan(plain, schema, versions=True),
+            self._scan(live, schema, versions=True),
             self._scan(upserts, schema, versions=True),
             upserts[-1].keys,
         ).select(*schema.names)
@@ -278,12 +279,13 @@ class VersionedTable:
         self, df: DataFrame, kind: str, operation: str, *,
         partition_by: list[str] | None = None, keys: list[str] | None = None,
         replace_schema: bool = False, metrics: dict[str, Column] | None = None,
-        facts: dict | None = None, writer: str | None = None, batch: int | None = None, now: dt.datetime | None = None,
+        facts: dict | None = None, writer: str | None = None, batch: int | None = None,
+        replay: bool = False, now: dt.datetime | None = None,
     ) -> int:
         commits = self._commits()
         numbered = [c for c in commits if c.kind != EXPIRE]
         last = numbered[-1] if numbered else None
-        if writer is not None and batch is not None:
+        if writer is not None and batch is not None and not replay:
             done = next((c for c in numbered if c.writer == writer and c.batch is not None
                          and c.batch >= batch), None)
             if done is not None:

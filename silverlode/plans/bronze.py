@@ -70,8 +70,12 @@ def ingest(
 def register_latest(table: VersionedTable, version: int, name: str) -> None:
     """(Re-)point a catalog table at the rows of one commit, without a copy."""
     commit = table.commit_of(version)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in commit.struct)
+    parts = ", ".join(f"`{c}`" for c in commit.partition_by)
+    location = table._directory(commit.directory).replace("'", "\\'")
     table.spark.sql(f"DROP TABLE IF EXISTS {name}")
-    table.spark.catalog.createTable(
-        name, path=table._directory(commit.directory), source="parquet", schema=commit.struct)
-    if commit.partition_by:
-        table.spark.catalog.recoverPartitions(name)
+    table.spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet "
+        + (f"PARTITIONED BY ({parts}) " if parts else "") + f"LOCATION '{location}'")
+    if parts:
+        table.spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -127,10 +127,11 @@ def process_entity(
     The verdict is worked out once and written to the shared work area, split by
     status; the two sinks read their own part of it.
 
-    Quarantine is written first and silver, whose commit carries the mark, last.
-    Both note the bronze version they cover.  If a job dies in between, the next
-    one finds quarantine ahead, repeats exactly that batch (the quarantine append
-    is then a no-op) and leaves later bronze commits to the run after.
+    Both sinks note the bronze version they cover, and an incremental run takes the
+    commits after it.  Quarantine is written first and silver, whose commit counts
+    as the mark, last.  If a job dies in between, the next one finds quarantine
+    ahead, repeats exactly that batch (the quarantine append is then a no-op) and
+    leaves later bronze commits to the run after.
 
     A full run judges all of bronze again and replaces the quarantine table.
     """
@@ -139,18 +140,22 @@ def process_entity(
     quarantine = VersionedTable(spark, layers.path("quarantine", entity))
 
     upto = bronze.latest_version()
+    done = silver.last_batch(_WRITER)
     if incremental:
-        pending, done = quarantine.last_batch(_WRITER), silver.last_batch(_WRITER)
+        pending = quarantine.last_batch(_WRITER)
         if pending is not None and (done is None or pending > done):
             upto = pending
-    rows = bronze.read(upto)
-    if incremental:
-        rows = newer_than(rows, processed_until(spark, layers, entity))
-    if rows.isEmpty():
+    if incremental and done is not None:
+        rows, rewritten = bronze.read_since(done, upto)
+        if rows is not None and rewritten:        # compacted since: tell old rows by their time
+            rows = newer_than(rows, processed_until(spark, layers, entity))
+    else:
+        rows = bronze.read(upto)
+    if rows is None or rows.isEmpty():
         return SilverResult(0, 0)
 
     tagged = _rules(spark, layers, entity, strict_parity).tag(rows, now)
-    guard = {"writer": _WRITER, "batch": upto} if incremental else {}
+    guard = {"writer": _WRITER, "batch": upto, "replay": not incremental, "now": now}
     watch = {
         _MARK: F.unix_micros(F.max("ingestion_timestamp")),
         "accepted": F.count(F.when(F.col(STATUS) == PASSED, 1)),
@@ -160,13 +165,13 @@ def process_entity(
         seen = stage.metrics
         rejected = stage.read().where(F.col(STATUS) == FAILED)
         if not incremental:
-            quarantine.overwrite(rejected, operation="QUARANTINE", now=now)
+            quarantine.overwrite(rejected, operation="QUARANTINE", **guard)
         elif seen["rejected"]:
-            quarantine.append(rejected, operation="QUARANTINE", now=now, **guard)
+            quarantine.append(rejected, operation="QUARANTINE", **guard)
         accepted = stage.read().where(F.col(STATUS) == PASSED)
         silver.upsert(
             _TRANSFORM[entity](accepted, now), schemas.KEYS[entity], check_unique=False,
-            facts={k: seen[k] for k in watch}, now=now, **guard)
+            facts={k: seen[k] for k in watch}, **guard)
     return SilverResult(seen["accepted"], seen["rejected"])
 
 
