@@ -31,6 +31,14 @@ def _start(
     return writer.trigger(**trigger).start()
 
 
+def _identity(batch: DataFrame, writer: str) -> str:
+    """Who writes: the job's name and the query id kept in its checkpoint.  Batch
+    numbers only mean something within one checkpoint; a query that starts over
+    with a new one counts as somebody else, and its batches are not skipped."""
+    query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{writer}:{query_id}"
+
+
 def ingest_stream(
     envelope: DataFrame, table_path: str, checkpoint: str, lateness: str = LATENESS,
     every: str | None = INGEST_EVERY, writer: str = "stream-ingest", name: str | None = None,
@@ -46,7 +54,7 @@ def ingest_stream(
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         VersionedTable(batch.sparkSession, table_path).append(
-            batch, operation="STREAM", writer=writer, batch=batch_id)
+            batch, operation="STREAM", writer=_identity(batch, writer), batch=batch_id)
 
     return _start(rows, sink, "append", checkpoint, every, name)
 
@@ -70,7 +78,7 @@ def windowed_stream(
             "transaction_count", "total_revenue")
         VersionedTable(batch.sparkSession, table_path).upsert(
             flat, ["window_start", "status_key"], check_unique=False, operation="STREAM",
-            writer=writer, batch=batch_id)
+            writer=_identity(batch, writer), batch=batch_id)
 
     return _start(totals, sink, mode, checkpoint, every, name)
 
