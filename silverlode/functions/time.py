@@ -7,13 +7,20 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: text format of event times in the raw feeds.
+# Text format of event times in the raw feeds, and its plain shape.
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+_PLAIN = r"^[1-9]\d{3}-\d\d-\d\d \d\d:\d\d:\d\d$"
 
 
 def parse_event_time(name: str) -> Column:
-    """Unparsable text becomes NULL, also under ANSI mode."""
-    return F.try_to_timestamp(F.col(name), F.lit(EVENT_TIME_FORMAT))
+    """Unparsable text becomes NULL, also under ANSI mode.
+
+    Text of the plain shape is cast, which reads it several times faster than a
+    pattern does and to the same instant; anything else meets the pattern.
+    """
+    text = F.col(name)
+    return F.when(text.rlike(_PLAIN), text.try_cast("timestamp")).otherwise(
+        F.try_to_timestamp(text, F.lit(EVENT_TIME_FORMAT)))
 
 
 def clock(now: dt.datetime | None) -> Column:

@@ -24,13 +24,17 @@ def key_hash(keys: list[str]) -> Column:
 
 
 def hot_key_hashes(
-    df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS,
+    known_rows: int | None = None,
 ) -> list[int]:
     """Hashes of the keys that hold at least ``share`` of the rows.
 
-    One narrow scan of the key columns, aggregated map-side into frequent-item
+    ``known_rows``: the row count, if metadata has it; fewer than ``min_rows`` rows
+    cannot hold a hot key, and nothing is scanned.  Otherwise one narrow scan of the key columns, aggregated map-side into frequent-item
     sketches; at most ``1 / HOT_SHARE`` numbers reach the driver.
     """
+    if known_rows is not None and known_rows < min_rows:
+        return []
     per_slot = (
         df.select(key_hash(keys).alias("h"), (F.spark_partition_id() % _MERGE_SLOTS).alias("slot"))
         .groupBy("slot")

@@ -170,6 +170,11 @@ class VersionedTable:
             raise VersionNotFound(f"no table at {self.path}")
         return commits[-1].version
 
+    def rows_written(self, version: int) -> int:
+        """Rows in the directories of a version, from the log: an upper bound of its
+        row count (upserts may replace some)."""
+        return sum(c.row_count for c in self._live(self._commits(), version))
+
     def version_at(self, moment: dt.datetime) -> int:
         """The last version committed at or before a moment (session time zone)."""
         found = (

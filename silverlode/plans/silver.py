@@ -14,6 +14,7 @@ from silverlode.functions.time import clock
 from silverlode.operators.rules import (
     FAILED, PASSED, STATUS, customer_rules, product_rules, transaction_rules,
 )
+from silverlode.operators.skew import hot_key_hashes
 from silverlode.operators.versioned import VersionedTable
 from silverlode.session import Stage
 from silverlode.sources.layers import Layers
@@ -154,7 +155,8 @@ def process_entity(
     if rows is None or rows.isEmpty():
         return SilverResult(0, 0)
 
-    tagged = _rules(spark, layers, entity, strict_parity).tag(rows, now)
+    hot = hot_key_hashes(rows, schemas.KEYS[entity], known_rows=bronze.rows_written(upto))
+    tagged = _rules(spark, layers, entity, hot, strict_parity).tag(rows, now)
     guard = {"writer": _WRITER, "batch": upto, "replay": not incremental, "now": now}
     watch = {
         _MARK: F.unix_micros(F.max("ingestion_timestamp")),
@@ -175,18 +177,18 @@ def process_entity(
     return SilverResult(seen["accepted"], seen["rejected"])
 
 
-def _rules(spark: SparkSession, layers: Layers, entity: str, strict_parity: bool):
+def _rules(spark: SparkSession, layers: Layers, entity: str, hot: list[int], strict_parity: bool):
     if entity == "customers":
-        return customer_rules()
+        return customer_rules(hot=hot)
     if entity == "products":
-        return product_rules(strict_parity=strict_parity)
+        return product_rules(hot=hot, strict_parity=strict_parity)
     references = {}
     for name in ("customers", "products"):
         table = VersionedTable(spark, layers.path("bronze", name))
         if table.exists():                    # no reference table, no check
             references[name] = table.read()
     return transaction_rules(references.get("customers"), references.get("products"),
-                             strict_parity=strict_parity)
+                             hot=hot, strict_parity=strict_parity)
 
 
 def build_silver(
