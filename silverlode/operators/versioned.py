@@ -3,7 +3,7 @@
 Layout under the table path::
 
     data/<directory>/...parquet     rows written by one commit
-    log/...parquet                  one row per commit
+    log/part=<n>/...parquet         one row per commit; the highest complete part counts
 
 A commit writes its data directory first and publishes a log row last; readers
 only look at directories the log names, so a failed attempt is invisible.  One
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.schemas import struct
-from silverlode.session import path_bytes, path_exists, remove_path
+from silverlode.session import list_names, path_bytes, path_exists, remove_path
 
 LOG_SCHEMA = struct(
     "version bigint, committed_at timestamp, operation string, kind string, "
@@ -44,6 +44,9 @@ LOG_SCHEMA = struct(
 
 APPEND, OVERWRITE, UPSERT, RESTORE, EXPIRE = "append", "overwrite", "upsert", "restore", "expire"
 
+# Fixed value: log files after which a log part is rolled into one.
+LOG_FILES = 100
+
 # Fixed value: upper end of the file size range wanted after compaction (bytes).
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
@@ -114,25 +117,34 @@ class VersionedTable:
 
     # -- log ------------------------------------------------------------------
 
+    def _log_part(self) -> int | None:
+        """The newest log part that was written to the end."""
+        root = f"{self.path}/log"
+        parts = sorted((int(n.removeprefix("part=")) for n in list_names(self.spark, root)
+                        if n.startswith("part=")), reverse=True)
+        return next((p for p in parts if path_exists(self.spark, f"{root}/part={p}/_SUCCESS")), None)
+
     @property
     def _log_path(self) -> str:
-        return f"{self.path}/log"
+        return f"{self.path}/log/part={self._log_part() or 0}"
 
     def _directory(self, name: str) -> str:
         return f"{self.path}/data/{name}"
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self._log_path)
+        return self._log_part() is not None
 
     def log(self) -> DataFrame:
-        if not self.exists():
+        part = self._log_part()
+        if part is None:
             raise VersionNotFound(f"no table at {self.path}")
-        return self.spark.read.schema(LOG_SCHEMA).parquet(self._log_path)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log/part={part}")
 
     def _commits(self) -> list[Commit]:
-        if not self.exists():
+        try:
+            rows = self.log().collect()
+        except VersionNotFound:
             return []
-        rows = self.log().collect()
         return sorted((Commit(**r.asDict()) for r in rows), key=lambda c: c.version)
 
     def _publish(self, commit: Commit) -> int:
@@ -142,9 +154,21 @@ class VersionedTable:
             return value.cast(f.dataType).alias(f.name)
 
         row = self.spark.range(1, numPartitions=1).select(*map(literal, LOG_SCHEMA))
-        row.write.mode("append").parquet(self._log_path)
+        where = self._log_path
+        row.write.mode("append").parquet(where)
+        if len(list_names(self.spark, where)) > LOG_FILES:
+            self._roll_log()
         return commit.version
 
+    def _roll_log(self) -> None:
+        """Copy the log into the next part as one file, so that a table with many
+        small commits (a stream) does not read thousands of log files.  A part left
+        unfinished is ignored and written over."""
+        part = self._log_part()
+        self.log().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/log/part={part + 1}")
+        if part > 0:                       # the part before stays for readers under way
+            remove_path(self.spark, f"{self.path}/log/part={part - 1}")
+
     def history(self) -> DataFrame:
         """One row per version, newest first."""
         return (

@@ -74,6 +74,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a directory (none if it does not exist)."""
+    if not path_exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
 class Stage:
     """A frame written once to the shared area so that several sinks can read it.
 

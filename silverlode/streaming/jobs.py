@@ -74,7 +74,8 @@ def windowed_stream(
     def sink(batch: DataFrame, batch_id: int) -> None:
         flat = batch.select(
             F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-            F.coalesce("status", F.lit("")).alias("status_key"), "status",
+            # a key must not be NULL, and no status must not look like an empty one
+            F.coalesce(F.concat(F.lit("="), "status"), F.lit("")).alias("status_key"), "status",
             "transaction_count", "total_revenue")
         VersionedTable(batch.sparkSession, table_path).upsert(
             flat, ["window_start", "status_key"], check_unique=False, operation="STREAM",

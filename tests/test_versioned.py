@@ -124,6 +124,23 @@ def test_failed_attempt_is_invisible(spark, table):
     assert rows(table.read()) == [("1", 1), ("2", 2)]
 
 
+def test_log_is_rolled_into_one_file(spark, table, monkeypatch):
+    from silverlode.operators import versioned
+    from silverlode.session import list_names
+    monkeypatch.setattr(versioned, "LOG_FILES", 4)
+    for i in range(7):
+        table.append(kv(spark, (str(i), i)), now=DAY[i])
+    assert table._log_part() >= 2
+    assert [r.version for r in table.history().collect()] == [6, 5, 4, 3, 2, 1, 0]
+    assert table.read(2).count() == 3 and table.read().count() == 7
+    # a roll that died half-way is not seen
+    part = table._log_part() + 1
+    table.log().limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{table.path}/log/part={part}")
+    assert "_SUCCESS" not in list_names(spark, f"{table.path}/log/part={part}")
+    assert table.latest_version() == 6
+
+
 def test_replayed_batch_is_skipped(spark, table):
     for _ in range(2):
         table.append(kv(spark, ("1", 1)), writer="w", batch=0)

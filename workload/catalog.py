@@ -27,6 +27,7 @@ from silverlode.plans.upkeep import layer_metrics
 from silverlode.session import shared_dir
 from silverlode.sources import Layers, file_stream, read_raw
 from silverlode.streaming import decode_events, ingest_stream, windowed_stream
+from silverlode.streaming.events import split_malformed
 from workload import canon
 
 NOW = dt.datetime(2024, 1, 1)
@@ -90,6 +91,17 @@ def json_parse(spark, sf):
         "event_id", F.from_json("props", "k int").alias("p")).select("event_id", "p.*")
 
 
+@query
+def json_malformed(spark, sf):
+    events = canon.table(spark, sf, "events")
+    torn = canon.envelope(events).withColumn(          # some messages arrive cut off
+        "value", F.when(F.length("value") % 3 == 0, F.substring("value", 1, 30)).otherwise(F.col("value")))
+    good, bad = split_malformed(torn)
+    return canon.plain_time(
+        bad.select("timestamp", F.col("key").cast("string").alias("key"), "value_text").unionByName(
+            good.select("timestamp", F.col("key").cast("string").alias("key"), F.lit("").alias("value_text"))))
+
+
 @query
 def event_decode(spark, sf):
     decoded = decode_events(canon.envelope(canon.table(spark, sf, "events")))
@@ -145,6 +157,14 @@ def dq_range_invalid(spark, sf):
     return shown(split_range(canon.flawed_transactions(spark, sf), "quantity", 1, 30)[1])
 
 
+@query
+def dq_range_strict(spark, sf):
+    """Three-valued: rows without a quantity are on neither side."""
+    accepted, rejected = split_range(canon.flawed_transactions(spark, sf), "quantity", low=1, strict_parity=True)
+    sides = accepted.withColumn("side", F.lit("accepted")).unionByName(rejected.withColumn("side", F.lit("rejected")))
+    return sides.groupBy("side").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def _solvent(spark, sf):
     return canon.customers(spark, sf).where("balance >= 0")
 
@@ -323,6 +343,15 @@ def validated_daily_sales(spark, sf):
     return shown(gold.daily_sales(transform_transactions(accepted, NOW), NOW))
 
 
+@query
+def partitioned_gold_read(spark, sf):
+    """Write the monthly summary in its layout and read one year of it: the other
+    years' directories are not opened."""
+    layers = Layers(shared_dir(spark, "gold"))
+    gold.write_gold(gold.monthly_sales(silver(spark, sf), NOW), layers, "monthly_sales_summary", NOW)
+    return shown(VersionedTable(spark, layers.path("gold", "monthly_sales_summary")).read().where("year = 1997"))
+
+
 # -- versions ------------------------------------------------------------------
 
 COMMIT_TIMES = [dt.datetime(1997, 1, 1), dt.datetime(1999, 1, 1), dt.datetime(2002, 1, 1)]

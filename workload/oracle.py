@@ -92,6 +92,13 @@ FROM part"""
 SQL["json_parse"] = """
 SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events"""
 
+_VALUE = """'{"transaction_id":"' || event_id || '","customer_id":"' || user_id || '","transaction_date":"'
+  || strftime(ts, '%Y-%m-%d %H:%M:%S') || '","final_amount":' || CAST(value AS VARCHAR) || ',"status":"' || event_type || '"}'"""
+SQL["json_malformed"] = f"""
+WITH m AS (SELECT ts, user_id, {_VALUE} AS v FROM events)
+SELECT ts AS timestamp, CAST(user_id AS VARCHAR) AS key,
+       CASE WHEN length(v) % 3 = 0 THEN substr(v, 1, 30) ELSE '' END AS value_text FROM m"""
+
 SQL["event_decode"] = """
 SELECT CAST(user_id AS VARCHAR) AS kafka_key, CAST(event_id AS VARCHAR) AS transaction_id,
        CAST(user_id AS VARCHAR) AS customer_id, date_trunc('second', ts) AS transaction_timestamp,
@@ -112,6 +119,9 @@ SQL["dq_duplicates"] = f"WITH {TX}\nSELECT * FROM tx QUALIFY {NEWEST} > 1"
 SQL["dq_range_valid"] = f"WITH {FLAWED}\nSELECT * FROM bad WHERE quantity BETWEEN 1 AND 30"
 SQL["dq_range_invalid"] = (
     f"WITH {FLAWED}\nSELECT * FROM bad WHERE quantity IS NULL OR quantity < 1 OR quantity > 30")
+SQL["dq_range_strict"] = f"""WITH {FLAWED}
+SELECT CASE WHEN quantity >= 1 THEN 'accepted' ELSE 'rejected' END AS side, COUNT(*) AS row_count
+FROM bad WHERE quantity IS NOT NULL GROUP BY 1"""
 _SOLVENT = "SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal >= 0"
 _SIZEABLE = "SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size > 5"
 SQL["dq_fk_valid"] = f"WITH {TX}\nSELECT * FROM tx WHERE customer_id IN ({_SOLVENT})"
@@ -254,6 +264,9 @@ SELECT CAST(year(transaction_timestamp) AS INTEGER) AS year, CAST(month(transact
        CAST(quarter(transaction_timestamp) AS INTEGER) AS quarter, {_METRICS}
 FROM sales GROUP BY 1, 2, 3"""
 
+SQL["partitioned_gold_read"] = SQL["monthly_sales"].replace(
+    "FROM sales GROUP BY", "FROM sales WHERE year(transaction_timestamp) = 1997 GROUP BY")
+
 SQL["rfm_segments"] = f"""WITH {CUSTOMERS},
 m AS (
   SELECT CAST(o_custkey AS VARCHAR) AS customer_id, {total(m2('o_totalprice / 1000'))} AS monetary_value,
