@@ -9,7 +9,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -40,8 +39,6 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
-    if not os.environ.get("SPARK_CONF_DIR"):
-        options["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="run-")
     spark = open_session("bench", f"local[{cpus}]", options)
     times = {}
     for name in names:

@@ -160,12 +160,13 @@ class VersionedTable:
             self._roll_log()
         return commit.version
 
-    def _roll_log(self) -> None:
+    def _roll_log(self, keep: Column | None = None) -> None:
         """Copy the log into the next part as one file, so that a table with many
         small commits (a stream) does not read thousands of log files.  A part left
         unfinished is ignored and written over."""
         part = self._log_part()
-        self.log().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/log/part={part + 1}")
+        rows = self.log() if keep is None else self.log().where(keep)
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/log/part={part + 1}")
         if part > 0:                       # the part before stays for readers under way
             remove_path(self.spark, f"{self.path}/log/part={part - 1}")
 
@@ -213,16 +214,22 @@ class VersionedTable:
     # -- reading --------------------------------------------------------------
 
     @staticmethod
-    def _live(commits: list[Commit], version: int) -> list[Commit]:
-        """The commits whose directories make up a version, oldest first."""
+    def _chain(commits: list[Commit], version: int) -> list[Commit]:
+        """The commits a version rests on, oldest first: back to the last full write,
+        through a restore to what it points at."""
         upto = [c for c in commits if c.version <= version and c.kind != EXPIRE]
         if not upto or upto[-1].version != version:
             raise VersionNotFound(f"version {version} does not exist")
         start = max((i for i, c in enumerate(upto) if c.kind in (OVERWRITE, RESTORE)), default=0)
-        head = upto[start]
-        if head.kind == RESTORE:
-            return VersionedTable._live(commits, head.refers_to) + upto[start + 1:]
-        return upto[start:]
+        before = []
+        if upto[start].kind == RESTORE:
+            before = VersionedTable._chain(commits, upto[start].refers_to)
+        return before + upto[start:]
+
+    @staticmethod
+    def _live(commits: list[Commit], version: int) -> list[Commit]:
+        """The commits whose directories make up a version, oldest first."""
+        return [c for c in VersionedTable._chain(commits, version) if c.directory]
 
     def _check_retained(self, commits: list[Commit], version: int) -> None:
         floor = max((c.version for c in commits if c.kind == EXPIRE), default=None)
@@ -403,27 +410,32 @@ class VersionedTable:
         return self.overwrite(rows, operation="OPTIMIZE", now=now)
 
     def expire(self, before: dt.datetime, now: dt.datetime | None = None) -> int:
-        """Give up time travel to versions older than the one current at ``before``
-        and delete the directories no kept version needs.  Returns the oldest
-        version kept.  The log row goes first: if the job dies, what remains on
-        disk is merely unused and goes with the next call."""
+        """Give up time travel to versions older than the one current at ``before``.
+        Directories no kept version needs are deleted, also those of failed attempts,
+        and the log forgets what it no longer has to know.  Returns the oldest version
+        kept.
+
+        The horizon is published first.  If the job dies after that, what is left on
+        disk is merely unused and goes with the next call.
+        """
         commits = self._commits()
         numbered = [c for c in commits if c.kind != EXPIRE]
         if not numbered:
             raise VersionNotFound(f"no table at {self.path}")
-        old_enough = [c.version for c in numbered if c.committed_at <= before]
-        floor = max(old_enough, default=numbered[0].version)
-        previous = max((c.version for c in commits if c.kind == EXPIRE), default=numbered[0].version)
-        floor = max(floor, previous)
+        floors = [c.version for c in commits if c.kind == EXPIRE]
+        floor = max([c.version for c in numbered if c.committed_at <= before] + floors,
+                    default=numbered[0].version)
         self._publish(Commit(version=floor, committed_at=now or dt.datetime.now(),
                              operation="EXPIRE", kind=EXPIRE))
-        needed = {c.directory for v in numbered if v.version >= floor
-                  for c in self._live(commits, v.version)}
-        for c in numbered:
-            if c.directory and c.directory not in needed:
-                path = self._directory(c.directory)
-                if path_exists(self.spark, path):
-                    remove_path(self.spark, path)
+        kept = [c for v in numbered if v.version >= floor for c in self._chain(commits, v.version)]
+        directories = {c.directory for c in kept}
+        for name in list_names(self.spark, f"{self.path}/data"):
+            if name not in directories:
+                remove_path(self.spark, self._directory(name))
+        last_batches = {c.writer: c for c in numbered if c.batch is not None}.values()
+        versions = sorted({c.version for c in [*kept, *last_batches]})
+        self._roll_log((F.col("kind") != EXPIRE) & F.col("version").isin(versions)
+                       | (F.col("kind") == EXPIRE) & (F.col("version") == floor))
         return floor
 
 

@@ -187,9 +187,28 @@ def test_expiry_frees_what_no_kept_version_needs(spark, table):
     assert rows(table.read()) == [("z", 0)]
     with pytest.raises(VersionNotFound):
         table.read(3)
-    from silverlode.session import path_exists
-    left = [c for c in table._commits() if c.directory and path_exists(spark, table._directory(c.directory))]
-    assert [c.version for c in left] == [4]
+    assert [r.version for r in table.history().collect()] == [4]
+    from silverlode.session import list_names
+    assert list_names(spark, f"{table.path}/data") == [table.commit_of(4).directory]
+
+
+def test_expiry_keeps_what_a_restore_and_a_writer_need(spark, table):
+    table.append(kv(spark, ("1", 1)), now=DAY[0], writer="w", batch=5)
+    table.overwrite(kv(spark, ("x", 1)), now=DAY[1])
+    table.restore(0, now=DAY[2])
+    table.restore(2, now=DAY[3])                       # a restore of a restore
+    table.append(kv(spark, ("2", 2)), now=DAY[4])
+    kv(spark, ("9", 9)).write.parquet(table._directory("_commit=5-deadbeef"))     # failed attempt
+    assert table.expire(before=DAY[4]) == 4
+    assert rows(table.read()) == [("1", 1), ("2", 2)]
+    from silverlode.session import list_names
+    assert len(list_names(spark, f"{table.path}/data")) == 2
+    table.append(kv(spark, ("1", 1)), writer="w", batch=5)      # still known as done
+    assert table.latest_version() == 4
+    table.overwrite(kv(spark, ("z", 0)), now=DAY[6])
+    assert table.expire(before=DAY[6]) == 5
+    table.append(kv(spark, ("1", 1)), writer="w", batch=5)
+    assert rows(table.read()) == [("z", 0)]
 
 
 def test_compare_and_append_check(spark, table):
