@@ -59,7 +59,10 @@ def rank_within_key(
         return cold_route(df)
 
     # Hot keys: rank inside every input partition, then rank the partition winners.
-    # Dead rows get lanes of their own so that they cannot win one.
+    # Dead rows get lanes of their own so that they cannot win one.  Both rankings
+    # run over one plan: filtering the winners into a branch of their own would
+    # evaluate the lanes twice, and adaptive execution may number the partitions
+    # of the two branches differently.
     is_hot = key_hash(keys).isin(hot)
     lane = F.when(dead, -1 - spread_lane()).otherwise(spread_lane())
     first = ranked(df.where(is_hot).withColumn("_lane", lane), "_lane", "_local")

@@ -148,12 +148,11 @@ class VersionedTable:
         return sorted((Commit(**r.asDict()) for r in rows), key=lambda c: c.version)
 
     def _publish(self, commit: Commit) -> int:
-        def literal(f: T.StructField) -> Column:
-            value = getattr(commit, f.name)
-            value = F.array(*map(F.lit, value)) if isinstance(value, list) else F.lit(value)
-            return value.cast(f.dataType).alias(f.name)
-
-        row = self.spark.range(1, numPartitions=1).select(*map(literal, LOG_SCHEMA))
+        facts = {f.name: getattr(commit, f.name) for f in LOG_SCHEMA}
+        moment = commit.committed_at.astimezone(dt.timezone.utc)
+        facts["committed_at"] = moment.isoformat(timespec="microseconds")
+        row = self.spark.range(1, numPartitions=1).select(
+            F.inline(F.array(F.from_json(F.lit(json.dumps(facts)), LOG_SCHEMA))))
         where = self._log_path
         row.write.mode("append").parquet(where)
         if len(list_names(self.spark, where)) > LOG_FILES:

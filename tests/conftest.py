@@ -11,8 +11,8 @@ from silverlode.session import open_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = open_session("silverlode-tests", "local[4]", {
-        "spark.sql.shuffle.partitions": "4",
+    session = open_session("silverlode-tests", "local[8]", {
+        "spark.sql.shuffle.partitions": "3",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
