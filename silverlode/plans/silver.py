@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode import schemas
@@ -93,15 +93,19 @@ def high_water_mark(frames: list[DataFrame], column: str = "ingestion_timestamp"
 def processed_until(spark: SparkSession, layers: Layers, entity: str) -> dt.datetime | None:
     """The high-water mark of an entity.
 
-    Every silver commit notes the newest ingestion time of its whole batch,
-    rejects included, so the log answers this without a scan, and a batch of
-    nothing but rejects counts as done.
+    Every silver commit notes the newest ingestion time seen so far, rejects
+    included, so the log answers this without a scan, and a batch of nothing but
+    rejects counts as done.
     """
     silver = VersionedTable(spark, layers.path("silver", entity))
     if not silver.exists():
         return None
-    noted = F.timestamp_micros(F.get_json_object("metrics", f"$.{_MARK}").cast("bigint"))
-    return high_water_mark([silver.log().select(noted.alias("seen"))], "seen").first().mark
+    noted = silver.log().select(F.timestamp_micros(_noted_mark()).alias("seen"))
+    return high_water_mark([noted], "seen").first().mark
+
+
+def _noted_mark() -> Column:
+    return F.get_json_object("metrics", f"$.{_MARK}").cast("bigint")
 
 
 @dataclass(frozen=True)
@@ -173,10 +177,16 @@ def process_entity(
         accepted = stage.read().where(F.col(STATUS) == PASSED)
         silver.upsert(
             _TRANSFORM[entity](accepted, now), schemas.KEYS[entity], check_unique=False,
-            facts={k: seen[k] for k in watch}, **guard)
+            facts={**{k: seen[k] for k in watch}, _MARK: _latest(silver, seen[_MARK])}, **guard)
     return SilverResult(seen["accepted"], seen["rejected"])
 
 
+def _latest(silver: VersionedTable, batch_mark: int | None) -> int | None:
+    """The mark after a batch: a batch of older rows does not move it back."""
+    before = silver.log().agg(F.max(_noted_mark()).alias("m")).first().m if silver.exists() else None
+    return max((m for m in (before, batch_mark) if m is not None), default=None)
+
+
 def _rules(spark: SparkSession, layers: Layers, entity: str, hot: list[int], strict_parity: bool):
     if entity == "customers":
         return customer_rules(hot=hot)

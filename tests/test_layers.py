@@ -18,9 +18,9 @@ from silverlode.sources import Layers, read_raw
 
 T = dt.datetime
 TX_CSV = """transaction_id,customer_id,product_id,transaction_date,quantity,unit_price,total_amount,discount,final_amount,payment_method,status,shipping_address
-T1,C1,P1,2024-01-01 10:00:00,2,50.0,100.0,0.0,100.0,Card, completed ,1 Main St
-T2,C2,P2,2024-01-01 11:00:00,1,75.0,75.0,10.0,65.0,PayPal,Completed,4 Oak Ave
-T3,C1,P3,2024-01-02 12:00:00,3,30.0,90.0,0.0,90.0,Card,pending,1 Main St
+T1,C1,P1,2024-01-01 10:00:00,2,50.0,100.0,0.0,100.0,Card, completed ,1 Mill Lane
+T2,C2,P2,2024-01-01 11:00:00,1,75.0,75.0,10.0,65.0,PayPal,Completed,4 Hill Road
+T3,C1,P3,2024-01-02 12:00:00,3,30.0,90.0,0.0,90.0,Card,pending,1 Mill Lane
 """
 BAD_CSV = """transaction_id,customer_id,product_id,transaction_date,quantity,unit_price,total_amount,discount,final_amount,payment_method,status,shipping_address
 ,C1,P1,2024-01-03 10:00:00,1,1.0,1.0,0.0,1.0,Card,completed,x
@@ -30,14 +30,14 @@ B4,C9,P1,2024-01-03 10:00:00,1,1.0,1.0,0.0,1.0,Card,completed,x
 B5,C1,P1,2024-01-03 10:00:00,many,1.0,1.0,0.0,1.0,Card,completed,x
 """
 CUSTOMER_CSV = """customer_id,customer_name,email,segment,registration_date,country
-C1, John Doe,JOHN@Example.com ,premium,2023-01-01,usa
-C2,Jane Smith,jane@example.com,standard,2023-01-01,uk
-C3,Bob Lee,bob@example.com,budget,2023-01-01,ca
+C1, Ada Moss,ADA@Example.com ,premium,2023-01-01,usa
+C2,Ivo Lund,ivo@example.com,standard,2023-01-01,uk
+C3,Bea Roth,bea@example.com,budget,2023-01-01,ca
 """
 PRODUCT_CSV = """product_id,product_name,category,price,cost,stock_quantity
-P1,Laptop,electronics,999.99,600.0,50
-P2,Mouse,electronics,25.99,10.0,200
-P3,Keyboard,office,0.0,30.0,150
+P1,Lamp,electronics,999.99,600.0,50
+P2,Fan,electronics,25.99,10.0,200
+P3,Desk,office,0.0,30.0,150
 """
 
 
@@ -134,13 +134,13 @@ def test_transaction_transform(spark):
 
 def test_customer_and_product_transforms(spark):
     c = transform_customers(spark.createDataFrame(
-        [(" John Doe ", " A@B.C ", "vip ", " usa")],
+        [(" Ada Moss ", " A@B.C ", "vip ", " usa")],
         "customer_name string, email string, segment string, country string")).first()
-    assert (c.customer_name, c.email, c.segment, c.country) == ("JOHN DOE", "a@b.c", "VIP", "USA")
+    assert (c.customer_name, c.email, c.segment, c.country) == ("ADA MOSS", "a@b.c", "VIP", "USA")
     rows = transform_products(spark.createDataFrame(
-        [(" Mouse ", "toys ", 25.999, 10.0), ("Free", "toys", 0.0, 1.0), ("None", "toys", None, 1.0)],
+        [(" Fan ", "toys ", 25.999, 10.0), ("Free", "toys", 0.0, 1.0), ("None", "toys", None, 1.0)],
         "product_name string, category string, price double, cost double")).collect()
-    assert rows[0].product_name == "Mouse" and rows[0].category == "TOYS" and rows[0].price == 26.0
+    assert rows[0].product_name == "Fan" and rows[0].category == "TOYS" and rows[0].price == 26.0
     assert rows[0].profit_margin == 61.54
     assert rows[1].profit_margin == rows[2].profit_margin == 0
 
@@ -206,6 +206,16 @@ def test_compaction_of_bronze_does_not_replay_it(spark, lake, raw):
     assert table(spark, lake, "silver", "transactions").count() == 4
 
 
+def test_the_mark_does_not_move_back(spark, lake, raw):
+    load(spark, lake, raw, now=T(2024, 2, 5), references=False)
+    process_entity(spark, lake, "transactions")
+    load(spark, lake, raw, TX_CSV.replace("T1,", "T9,"), "t3.csv", now=T(2024, 2, 1), references=False)
+    assert process_entity(spark, lake, "transactions").accepted == 3       # older stamp, newer commit
+    assert processed_until(spark, lake, "transactions") == T(2024, 2, 5)
+    VersionedTable(spark, lake.path("silver", "transactions")).expire(before=dt.datetime(2030, 1, 1))
+    assert processed_until(spark, lake, "transactions") == T(2024, 2, 5)
+
+
 def test_without_reference_tables_the_keys_are_not_checked(spark, lake, raw):
     load(spark, lake, raw, references=False)
     assert process_entity(spark, lake, "transactions").accepted == 3
@@ -271,7 +281,7 @@ def test_product_performance(spark):
         ("2", "C2", "P1", T(2024, 1, 2), 999.99, 1, 0.0, 399.99, "COMPLETED"),
         ("3", "C1", "P2", T(2024, 1, 3), 0.0, 2, 0.0, 15.99, "COMPLETED")], SALES_DDL)
     goods = spark.createDataFrame(
-        [("P1", "Laptop", "E", 999.99, 600.0)], "product_id string, product_name string, category string, price double, cost double")
+        [("P1", "Lamp", "E", 999.99, 600.0)], "product_id string, product_name string, category string, price double, cost double")
     perf = by(gold.product_performance(gold.product_metrics(sold), goods), "product_id")
     assert perf["P1"].total_revenue == 1999.98 and perf["P1"].total_quantity_sold == 2
     assert perf["P1"].profit_margin == 799.98 / 1999.98 * 100
@@ -364,11 +374,25 @@ def test_whole_batch_and_upkeep(spark, lake, raw):
     done = compact_tables(spark, lake, {"silver": TABLES["silver"], "gold": ("dim_customers", "no_such")})
     assert [r.done for r in done.collect()] == [True, True, True, True, False]
     assert before == {n: table(spark, lake, "silver", n).count() for n in TABLES["silver"]}
+    metrics = layer_metrics(spark, lake)
+    assert metrics.where("layer = 'silver' and table = 'transactions' and version = 0").first().rejected == 5
     kept = expire_tables(spark, lake, 1, {"silver": TABLES["silver"]}, now=dt.datetime.now() + dt.timedelta(days=1))
     assert all(r.done for r in kept.collect())
+    assert processed_until(spark, lake, "transactions") == T(2024, 2, 2)     # the log still knows
     assert before == {n: table(spark, lake, "silver", n).count() for n in TABLES["silver"]}
-    metrics = layer_metrics(spark, lake)
-    assert metrics.where("layer = 'silver' and table = 'transactions' and version = 0").first().rejected == 5
+
+
+def test_command_line(spark, lake, raw, capsys):
+    from silverlode.__main__ import main
+    base = ["--base", lake.base]
+    main(["ingest", *base, "--transactions", raw("t.csv", TX_CSV), "--products", raw("p.csv", PRODUCT_CSV)])
+    main(["silver", *base, "--full"])
+    main(["restore", *base, "--layer", "silver", "--table", "products", "--version", "0"])
+    main(["history", *base, "--layer", "silver", "--table", "products"])
+    out = capsys.readouterr().out
+    assert "accepted=3" in out and "RESTORE" in out
+    with pytest.raises(SystemExit):
+        main(["stream", *base])
 
 
 def test_schemas_are_nullable():
