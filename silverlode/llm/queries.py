@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, decontamination
+from silverlode.llm import bpe, decontamination, grading, language, pii, quality_rules
 from silverlode.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,54 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@query
+def op1_grade(spark, sf):
+    return grading.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op3_pii(spark, sf):
+    return pii.digest(table(spark, sf, "documents"))
+
+
+@query
+def op5_language(spark, sf):
+    return language.identify(table(spark, sf, "documents"))
+
+
+@query
+def op8_quality_rules(spark, sf):
+    return quality_rules.verdicts(table(spark, sf, "documents")).drop("fail_bits")
+
+
+SQL["op8_quality_rules"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), m AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines,
+         length(t) - length(regexp_replace(t, '\p{L}', '', 'g')) AS n_letters,
+         length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_upper
+  FROM d
+), g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (
+    SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) > 4)
+), r AS (
+  SELECT doc_id, count(DISTINCT k) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS k FROM (
+      SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1) GROUP BY doc_id
+), x AS (
+  SELECT m.*, coalesce(r.n, 0) AS n_repeat_words FROM m LEFT JOIN r USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR 100 * n_symbols > 10 * n_words
+            OR 100 * n_dup_lines > 30 * n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 100 * n_upper > 70 * n_letters) AS kept
+FROM x
+"""
