@@ -10,7 +10,7 @@ punctuation marks, final characters and repeated neighbours, all hashed to ``BUC
 
 The fit sees at most ``SAMPLE_ROWS`` rated documents (the bound), chosen by a hash of
 doc_id; of them only hashed features reach the driver.  Features in fewer than
-``MIN_DOCS`` of them get no weight.  Every document is scored, whole, without a shuffle.
+``MIN_DOCS`` of them, or a share of ``MIN_SHARE``, get no weight.  Every document is scored, whole, without a shuffle.
 
 Cases: a null or empty text has only its shape features and is scored like any other text;
 a rating with a null quality or toxic is not learned from; several ratings of a
@@ -32,8 +32,9 @@ from silverlode.llm.arrays import LOWER, SPACED, Texts, sliced, texts_of, word_h
 from silverlode.llm.shared import keyed_text
 
 BUCKETS = 1 << 18
-SAMPLE_ROWS = 8000
-MIN_DOCS = 3
+SAMPLE_ROWS = 12_000
+MIN_DOCS, MIN_SHARE = 5, 0.003
+PENALTY = 1e-3
 GRADES = 3
 KEEP_TAIL = 0.5
 _EDGE = np.zeros(256, bool)
@@ -90,7 +91,7 @@ def ratings(labels: DataFrame) -> DataFrame:
         .groupBy("doc_id").agg(F.min(grade).alias("grade"))
 
 
-def fit(docs: DataFrame, rated: DataFrame, sample_rows: int = SAMPLE_ROWS, rounds: int = 250) -> Model:
+def fit(docs: DataFrame, rated: DataFrame, sample_rows: int = SAMPLE_ROWS, rounds: int = 250, penalty: float = PENALTY) -> Model:
     """Full-batch Adam on the penalised likelihood of the sample."""
     h = F.shiftright(F.xxhash64(F.col("doc_id"), F.lit("rated")), 1) + F.lit(2**62)
     n = rated.count()
@@ -103,11 +104,11 @@ def fit(docs: DataFrame, rated: DataFrame, sample_rows: int = SAMPLE_ROWS, round
         return Model(weights, cuts)
     index = np.concatenate([np.frombuffer(r.bits, np.int32) for r in rows])
     doc = np.repeat(np.arange(len(rows)), [len(r.bits) // 4 for r in rows])
-    common = np.bincount(index, minlength=BUCKETS) >= MIN_DOCS
+    common = np.bincount(index, minlength=BUCKETS) >= max(MIN_DOCS, MIN_SHARE * len(rows))
     index, doc = index[common[index]], doc[common[index]]
     used, index = np.unique(index, return_inverse=True)
     grade = np.array([r.grade for r in rows])
-    share = len(rows) / (GRADES * np.maximum(np.bincount(grade, minlength=GRADES), 1))[grade]     # grades count alike
+    share = 1 / np.sqrt(np.maximum(np.bincount(grade, minlength=GRADES), 1))[grade]      # rare grades count more
     share /= share.sum()
     ones = (grade[:, None] > np.arange(GRADES - 1)).astype(float)
     w, t = np.zeros(len(used)), cuts.copy()
@@ -121,7 +122,7 @@ def fit(docs: DataFrame, rated: DataFrame, sample_rows: int = SAMPLE_ROWS, round
         p = np.maximum(lower - upper, 1e-9)
         du, dl = upper * (1 - upper), lower * (1 - lower)
         g = -share * (dl - du) / p
-        gw = np.bincount(index, g[doc], len(used)) + 2e-5 * w
+        gw = np.bincount(index, g[doc], len(used)) + penalty * w
         gt = np.zeros_like(t)
         np.add.at(gt, np.maximum(grade - 1, 0), np.where(grade > 0, share * dl / p, 0))
         np.add.at(gt, np.minimum(grade, GRADES - 2), np.where(grade < GRADES - 1, -share * du / p, 0))

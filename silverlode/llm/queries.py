@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, decontamination, grading, language, pii, quality_rules
+from silverlode.llm import bpe, decontamination, grading, language, pii, quality_rules, token_counts
 from silverlode.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR 100 * n_upper > 70 * n_letters) AS kept
 FROM x
 """
+
+
+@query
+def op10_token_counts(spark, sf):
+    # id 50256 is free in this vocabulary and ends a document
+    shared = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_counts.measure(table(spark, sf, "documents"), shared, 50256).select("doc_id", "n_tokens")
