@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, decontamination, grading, language, pii, quality_rules, token_counts
+from silverlode.llm import bpe, debruijn, decontamination, grading, language, pii, quality_rules, token_counts
 from silverlode.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,29 @@ def op10_token_counts(spark, sf):
     # id 50256 is free in this vocabulary and ends a document
     shared = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     return token_counts.measure(table(spark, sf, "documents"), shared, 50256).select("doc_id", "n_tokens")
+
+
+@query
+def op9_substring_dedup(spark, sf):
+    return debruijn.digest(table(spark, sf, "documents"))
+
+
+SQL["op9_substring_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM (
+    SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) > 12)
+), hit AS (
+  SELECT doc_id, list(DISTINCT k) AS gone FROM (
+    SELECT doc_id, unnest(range(i, i + 13)) AS k FROM (
+      SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS least FROM g) WHERE least < doc_id) GROUP BY doc_id
+), word AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t FROM word LEFT JOIN (SELECT doc_id, unnest(gone) AS k, 1 AS out FROM hit) USING (doc_id, k)
+  WHERE out IS NULL GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
