@@ -8,7 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from silverlode.llm import bpe, debruijn, decontamination, grading, language, pii, quality_rules, token_counts
+from silverlode.llm import (
+    bpe, debruijn, decontamination, grading, language, ngram_join, pii, quality_rules, suffix_dedup, token_counts,
+)
 from silverlode.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,3 +149,36 @@ WITH d AS (
 SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op4_ngram_join(spark, sf):
+    return ngram_join.near_duplicates(table(spark, sf, "documents"))
+
+
+SQL["op4_ngram_join"] = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(g, ' ') AS g, len(g) AS k FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+                          ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS g FROM d)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), link AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (g, k) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), least AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
+@query
+def op6_suffix_dedup(spark, sf):
+    return suffix_dedup.digest(table(spark, sf, "documents"))
