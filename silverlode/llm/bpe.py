@@ -264,20 +264,14 @@ def round_trip(docs: DataFrame, shared_vocabulary) -> DataFrame:
     return keyed_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def with_tokens(docs: DataFrame, shared_vocabulary) -> DataFrame:
-    """Every column of documents with ids and n_tokens; rows keep their own text beside
-    them.  Columns of these names are replaced."""
-    from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
-    keep = docs.drop("ids", "n_tokens")
-    place = keep.columns.index("text")
-    schema = StructType([*keep.schema.fields]).add("ids", ArrayType(IntegerType())).add("n_tokens", LongType())
-
+def tokenize(docs: DataFrame, shared_vocabulary) -> DataFrame:
+    """doc_id, n_tokens, ids, and the SHA-256 of what the ids decode to."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(shared_vocabulary.value)
         for b in sliced(batches):
-            ids = list(codec.encode(b.column(place).to_pylist()))
+            ids = list(codec.encode(b.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(ids, pa.list_(pa.int32())), pa.array([len(x) for x in ids], pa.int64())],
-                [*b.schema.names, "ids", "n_tokens"])
+                [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())),
+                 pa.array([hashlib.sha256(codec.decode(x)).hexdigest() for x in ids])], ["doc_id", "n_tokens", "ids", "decoded_sha256"])
 
-    return keep.mapInArrow(run, schema)
+    return keyed_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from silverlode.llm.arrays import (
     BYTE_VALUE, LETTERED, LOWER, Texts, covered, runs_of, sliced, texts_of, word_hashes, words_of,
 )
-from silverlode.llm.shared import forget, keyed_text, written
+from silverlode.llm.shared import keyed_text, written
 
 WINDOW = 10
 BLOCK_WORDS = 2_000_000
@@ -210,8 +210,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     if len(found) == 1:
         return found[0]
     # Several blocks: number the rows, keep the hits of every block, and unite them by row.
-    raise_on = docs.select("doc_id", "text")
-    kept, _ = written(raise_on.withColumn("row", F.monotonically_increasing_id()), "rows")
+    kept, _ = written(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
     texts = kept.select(F.col("row").alias("doc_id"), "text")
     union = None
     for k, b in enumerate(_blocks(spark, benchmark, window, block_words)):
@@ -243,10 +242,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents without any hit, all their columns.
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents without any hit, with all their columns.
 
-    The verdicts are one narrow row a document; rows without a doc_id are kept as
-    they cannot be looked up."""
-    bad = contamination(docs, benchmark, **options).filter("contaminated").select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(bad, F.col("doc_id") == F.col("_hit"), "left_anti")
+    The rows pass through the blocks one after the other in the task that reads them, so
+    removal needs no join and rows without a doc_id are judged as well."""
+    place = docs.columns.index("text")
+
+    def clean(block_value):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in sliced(batches):
+                words, h = _lower_words(b.column(place))
+                hit, _, _ = match_shard(block_value.value, h, words.first)
+                seen = np.concatenate(([0], np.cumsum(hit)))
+                yield b.filter(pa.array(seen[words.first[1:]] == seen[words.first[:-1]]))
+        return run
+
+    for block_value in _blocks(docs.sparkSession, benchmark, window, block_words):
+        docs = docs.mapInArrow(clean(block_value), docs.schema)
+    return docs

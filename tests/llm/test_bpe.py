@@ -46,6 +46,6 @@ def test_round_trip(spark, small, odd_docs, empty, exact):
     back = bpe.decode(bpe.encode(odd_docs, shared), shared).collect()
     assert sorted(bytes(r.data) for r in back) == sorted((r.text or "").encode() for r in odd_docs.collect())
     assert bpe.round_trip(empty, shared).count() == 0
-    full = bpe.with_tokens(odd_docs, shared)
-    assert full.columns == [*odd_docs.columns, "ids", "n_tokens"]
-    assert full.count() == odd_docs.count()
+    full = {r.doc_id: r for r in bpe.tokenize(small("documents"), shared).collect()}
+    assert all(full[r.doc_id].ids == exact.encode_ordinary(r.text) and full[r.doc_id].n_tokens == len(full[r.doc_id].ids)
+               and full[r.doc_id].decoded_sha256 == hashlib.sha256(r.text.encode()).hexdigest() for r in small("documents").collect())
