@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverlode.operators.skew import hot_key_hashes, key_hash, spread_lane
+from silverlode.operators.skew import spread_lane
 
 # Fixed value: column that says how recent a row is.
 RECENCY = "ingestion_timestamp"
@@ -27,7 +27,6 @@ def rank_within_key(
     newest_by: str = RECENCY,
     ties: list[str] | None = None,
     alive: Column | None = None,
-    hot: list[int] | None = None,
 ) -> DataFrame:
     """Add ``_rank``: 1 for the surviving row of each key, more for the others.
 
@@ -35,12 +34,13 @@ def rank_within_key(
     over all tasks whatever their key is.  Keys are compared the way a window does
     (NULL is one key).
 
-    ``hot`` names keys too large for one task (see ``hot_key_hashes``; None looks
-    for them).  Those are ranked twice: inside each input partition first, then
-    the partition winners against each other.
+    Every key is ranked twice: inside each input partition first, then the partition
+    winners against each other.  No task holds more of a key than one input
+    partition does, or one row of each partition, however large the key is, and
+    nothing has to be known about the keys beforehand.  Both rankings run over one
+    plan: a branch of their own for the winners would evaluate the lanes twice, and
+    adaptive execution may number the partitions of two branches differently.
     """
-    if hot is None:
-        hot = hot_key_hashes(df if alive is None else df.where(alive), keys)
     order = recency_order(df, keys, newest_by, ties)
     dead = F.lit(False) if alive is None else ~F.coalesce(alive, F.lit(False))
 
@@ -48,40 +48,23 @@ def rank_within_key(
         window = Window.partitionBy(*[F.col(k) for k in keys], F.col(lane)).orderBy(*order)
         return rows.withColumn(out, F.row_number().over(window))
 
-    def cold_route(rows: DataFrame) -> DataFrame:
-        if alive is None:
-            window = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*order)
-            return rows.withColumn(RANK, F.row_number().over(window))
-        laned = rows.withColumn("_lane", F.when(dead, spread_lane()).otherwise(F.lit(-1)))
-        return ranked(laned, "_lane", RANK).drop("_lane")
-
-    if not hot:
-        return cold_route(df)
-
-    # Hot keys: rank inside every input partition, then rank the partition winners.
-    # Dead rows get lanes of their own so that they cannot win one.  Both rankings
-    # run over one plan: filtering the winners into a branch of their own would
-    # evaluate the lanes twice, and adaptive execution may number the partitions
-    # of the two branches differently.
-    is_hot = key_hash(keys).isin(hot)
+    # dead rows get lanes of their own so that they cannot win one
     lane = F.when(dead, -1 - spread_lane()).otherwise(spread_lane())
-    first = ranked(df.where(is_hot).withColumn("_lane", lane), "_lane", "_local")
-    contender = (F.col("_local") == 1) & ~dead
-    final = (
+    first = ranked(df.withColumn("_lane", lane), "_lane", "_local")
+    contender = (F.col("_local") == 1) & (F.col("_lane") >= 0)
+    return (
         ranked(first.withColumn("_final", F.when(contender, F.lit(None).cast("int")).otherwise(F.col("_lane"))),
                "_final", "_among")
         .withColumn(RANK, F.when(contender, F.col("_among")).otherwise(F.lit(2)))
         .drop("_lane", "_local", "_final", "_among")
     )
-    return cold_route(df.where(~is_hot)).unionByName(final)
 
 
 def split_duplicates(
-    df: DataFrame, keys: list[str], newest_by: str = RECENCY,
-    ties: list[str] | None = None, hot: list[int] | None = None,
+    df: DataFrame, keys: list[str], newest_by: str = RECENCY, ties: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(newest row per key, the rows it displaced)."""
-    ranked = rank_within_key(df, keys, newest_by, ties, hot=hot)
+    ranked = rank_within_key(df, keys, newest_by, ties)
     return ranked.where(F.col(RANK) == 1).drop(RANK), ranked.where(F.col(RANK) > 1).drop(RANK)
 
 

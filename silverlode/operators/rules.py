@@ -56,7 +56,6 @@ class Unique:
     keys: list[str]
     newest_by: str = RECENCY
     ties: list[str] | None = None
-    hot: list[int] | None = None
     message: str | None = None
 
     def apply(self, df: DataFrame) -> DataFrame:
@@ -65,7 +64,7 @@ class Unique:
             ties = [c for c, t in df.dtypes
                     if c not in self.keys and c not in (self.newest_by, _VERDICT) and not t.startswith("map")]
         ranked = rank_within_key(
-            df, self.keys, self.newest_by, ties, alive=F.col(_VERDICT).isNull(), hot=self.hot)
+            df, self.keys, self.newest_by, ties, alive=F.col(_VERDICT).isNull())
         message = self.message or f"Duplicate {', '.join(self.keys)}"
         return _reject(ranked, F.col(RANK) > 1, message).drop(RANK)
 
@@ -230,12 +229,11 @@ def transaction_rules(
     customers: DataFrame | None = None,
     products: DataFrame | None = None,
     ties: list[str] | None = None,
-    hot: list[int] | None = None,
     strict_parity: bool = False,
 ) -> Ruleset:
     rules: list[Rule] = [
         NotNull(["transaction_id", "customer_id", "product_id", "final_amount"]),
-        Unique(["transaction_id"], ties=ties, hot=hot),
+        Unique(["transaction_id"], ties=ties),
         Range("final_amount", low=0),
         Range("quantity", low=1),
     ]
@@ -246,18 +244,18 @@ def transaction_rules(
     return Ruleset(rules, strict_parity)
 
 
-def customer_rules(ties: list[str] | None = None, hot: list[int] | None = None) -> Ruleset:
+def customer_rules(ties: list[str] | None = None) -> Ruleset:
     return Ruleset([
         NotNull(["customer_id", "customer_name", "email"]),
-        Unique(["customer_id"], ties=ties, hot=hot),
+        Unique(["customer_id"], ties=ties),
     ])
 
 
 def product_rules(
-    ties: list[str] | None = None, hot: list[int] | None = None, strict_parity: bool = False
+    ties: list[str] | None = None, strict_parity: bool = False
 ) -> Ruleset:
     return Ruleset([
         NotNull(["product_id", "product_name", "price"]),
-        Unique(["product_id"], ties=ties, hot=hot),
+        Unique(["product_id"], ties=ties),
         Range("price", low=0),
     ], strict_parity)

@@ -1,57 +1,14 @@
-"""Finding hot keys before a window shuffles on them.
+"""Spreading equal rows over tasks.
 
 Joins are left to adaptive execution, which splits a skewed partition at run
-time.  It cannot split a window partition, so windows need to know their hot keys
-up front.  The sketch below only chooses a plan; the rows it names take a longer
-route to the same answer, so a missed or a spurious key never changes a result.
+time.  It cannot split a window partition, so windows rank in lanes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A key is hot from this share of all rows on, if that is also this many rows.
-HOT_SHARE = 0.0005
-HOT_ROWS = 1_000_000
-_TRACKED = 8192      # sketch size: sees every key above about 0.016 % of the rows
-_REPORTED = 2000     # 1 / HOT_SHARE, so no hot key can be crowded out
-_MERGE_SLOTS = 64    # sketches are merged in two levels, never all in one task
-
-
-def key_hash(keys: list[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
-
-
-def hot_key_hashes(
-    df: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS,
-    known_rows: int | None = None,
-) -> list[int]:
-    """Hashes of the keys that hold at least ``share`` of the rows.
-
-    ``known_rows``: the row count, if metadata has it; fewer than ``min_rows`` rows
-    cannot hold a hot key, and nothing is scanned.  Otherwise one narrow scan of the key columns, aggregated map-side into frequent-item
-    sketches; at most ``1 / HOT_SHARE`` numbers reach the driver.
-    """
-    if known_rows is not None and known_rows < min_rows:
-        return []
-    per_slot = (
-        df.select(key_hash(keys).alias("h"), (F.spark_partition_id() % _MERGE_SLOTS).alias("slot"))
-        .groupBy("slot")
-        .agg(F.expr(f"approx_top_k_accumulate(h, {_TRACKED})").alias("sketch"),
-             F.count(F.lit(1)).alias("n"))
-    )
-    found = (
-        per_slot.agg(
-            F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {_TRACKED}), {_REPORTED})").alias("top"),
-            F.sum("n").alias("n"),
-        )
-        .select(F.inline("top").alias("item", "rows_seen"), "n")
-        .where((F.col("rows_seen") >= F.lit(share) * F.col("n")) & (F.col("rows_seen") >= min_rows))
-        .select("item")
-    )
-    return [row.item for row in found.collect()]
-
 
 def spread_lane() -> Column:
     """A deterministic way to spread equal rows over many tasks.

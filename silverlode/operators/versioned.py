@@ -3,7 +3,7 @@
 Layout under the table path::
 
     data/<directory>/...parquet     rows written by one commit
-    log/part=<n>/...parquet         one row per commit; the highest complete part counts
+    log/...parquet                  one small file per commit
 
 A commit writes its data directory first and publishes a log row last; readers
 only look at directories the log names, so a failed attempt is invisible.  One
@@ -12,13 +12,13 @@ writer per table at a time is assumed.
 Commits append rows, replace everything (``overwrite``), upsert on the table's key
 or point back to an earlier version (``restore``).  An upsert writes the batch
 only -- the table is not rewritten; readers let the newest upserted row of a key
-win, and ``compact`` folds the pile when it has grown.  Schemas are in the log, so
-reading opens no footer to merge schemas, and columns added later read as NULL
-from older files.
+win, and ``compact`` folds the pile.  Compaction changes no row: each keeps the
+number of the commit that brought it in ``_origin``, so followers never take a
+rewritten row for a new one.
 
-The log rows between the last full write and the version asked for are looked up
-on the driver: one small row per commit, fewer than the file listing Spark itself
-keeps there.
+The log is a frame.  One aggregate finds the last commit, the schema and the last full
+write; of the commits themselves only those that a version is made of reach the driver.
+A schema is stored with the commit that changes it, not with every row.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.schemas import struct
-from silverlode.session import list_names, path_bytes, path_exists, remove_path
+from silverlode.session import list_names, path_bytes, remove_path
 
 LOG_SCHEMA = struct(
     "version bigint, committed_at timestamp, operation string, kind string, "
@@ -43,14 +43,14 @@ LOG_SCHEMA = struct(
 )
 
 APPEND, OVERWRITE, UPSERT, RESTORE, EXPIRE = "append", "overwrite", "upsert", "restore", "expire"
-
-# Fixed value: log files after which a log part is rolled into one.
-LOG_FILES = 100
+DELETE, INSERT = "delete", "insert"
+OPTIMIZE = "OPTIMIZE"
 
 # Fixed value: upper end of the file size range wanted after compaction (bytes).
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 _VERSION = "_version"
+_ORIGIN = "_origin"
 
 
 class VersionNotFound(LookupError):
@@ -73,9 +73,17 @@ class Commit:
     writer: str | None = None
     batch: int | None = None
 
-    @property
-    def struct(self) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self.schema))
+
+@dataclass
+class State:
+    """What the log says about a version: its commit, its schema, the last full write
+    it rests on, the oldest version kept, and the last batch of a writer."""
+
+    last: Commit | None
+    struct: T.StructType | None
+    start: int | None
+    floor: int | None
+    batch: int | None
 
 
 def _merged_schema(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -117,58 +125,70 @@ class VersionedTable:
 
     # -- log ------------------------------------------------------------------
 
-    def _log_part(self) -> int | None:
-        """The newest log part that was written to the end."""
-        root = f"{self.path}/log"
-        parts = sorted((int(n.removeprefix("part=")) for n in list_names(self.spark, root)
-                        if n.startswith("part=")), reverse=True)
-        return next((p for p in parts if path_exists(self.spark, f"{root}/part={p}/_SUCCESS")), None)
-
     @property
     def _log_path(self) -> str:
-        return f"{self.path}/log/part={self._log_part() or 0}"
+        return f"{self.path}/log"
 
     def _directory(self, name: str) -> str:
         return f"{self.path}/data/{name}"
 
     def exists(self) -> bool:
-        return self._log_part() is not None
+        """Whether a commit was published; success markers play no part."""
+        return any(n.endswith(".parquet") for n in list_names(self.spark, self._log_path))
 
     def log(self) -> DataFrame:
-        part = self._log_part()
-        if part is None:
+        if not self.exists():
             raise VersionNotFound(f"no table at {self.path}")
-        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log/part={part}")
+        return self.spark.read.schema(LOG_SCHEMA).parquet(self._log_path)
 
-    def _commits(self) -> list[Commit]:
-        try:
-            rows = self.log().collect()
-        except VersionNotFound:
-            return []
+    def _state(self, upto: int | None = None, writer: str | None = None) -> State:
+        """One aggregate over the log, one row to the driver."""
+        if not self.exists():
+            return State(None, None, None, None, None)
+        real = F.col("kind") != EXPIRE
+        if upto is not None:
+            real = real & (F.col("version") <= upto)
+        version = F.when(real, F.col("version"))
+        full = F.col("kind").isin(OVERWRITE, RESTORE)
+        row = self.log().agg(
+            F.max_by(F.struct(*LOG_SCHEMA.names), version).alias("last"),
+            F.max_by("schema", F.when(F.col("schema").isNotNull(), version)).alias("schema"),
+            F.max(F.when(full, version)).alias("start"),
+            F.max(F.when(F.col("kind") == EXPIRE, F.col("version"))).alias("floor"),
+            F.max(F.when(F.col("writer") == F.lit(writer), F.col("batch"))).alias("batch"),
+        ).first()
+        return State(
+            Commit(**row.last.asDict()) if row.last else None,
+            T.StructType.fromJson(json.loads(row.schema)) if row.schema else None,
+            row.start, row.floor, row.batch)
+
+    def _at(self, version: int | None) -> State:
+        """The state as of a version that exists and is kept (default: the latest)."""
+        state = self._state(version)
+        if state.last is None and version is None:
+            raise VersionNotFound(f"no table at {self.path}")
+        if state.last is None or version is not None and state.last.version != version:
+            raise VersionNotFound(f"version {version} does not exist")
+        if state.floor is not None and state.last.version < state.floor:
+            raise VersionNotFound(f"version {version} has been expired; {state.floor} is the oldest kept")
+        return state
+
+    def _between(self, first: int, last: int) -> list[Commit]:
+        rows = self.log().where((F.col("kind") != EXPIRE) & F.col("version").between(first, last)).collect()
         return sorted((Commit(**r.asDict()) for r in rows), key=lambda c: c.version)
 
+    def _all_commits(self) -> list[Commit]:
+        return sorted((Commit(**r.asDict()) for r in self.log().collect()), key=lambda c: c.version)
+
     def _publish(self, commit: Commit) -> int:
         facts = {f.name: getattr(commit, f.name) for f in LOG_SCHEMA}
         moment = commit.committed_at.astimezone(dt.timezone.utc)
         facts["committed_at"] = moment.isoformat(timespec="microseconds")
         row = self.spark.range(1, numPartitions=1).select(
             F.inline(F.array(F.from_json(F.lit(json.dumps(facts)), LOG_SCHEMA))))
-        where = self._log_path
-        row.write.mode("append").parquet(where)
-        if len(list_names(self.spark, where)) > LOG_FILES:
-            self._roll_log()
+        row.write.mode("append").parquet(self._log_path)
         return commit.version
 
-    def _roll_log(self, keep: Column | None = None) -> None:
-        """Copy the log into the next part as one file, so that a table with many
-        small commits (a stream) does not read thousands of log files.  A part left
-        unfinished is ignored and written over."""
-        part = self._log_part()
-        rows = self.log() if keep is None else self.log().where(keep)
-        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/log/part={part + 1}")
-        if part > 0:                       # the part before stays for readers under way
-            remove_path(self.spark, f"{self.path}/log/part={part - 1}")
-
     def history(self) -> DataFrame:
         """One row per version, newest first."""
         return (
@@ -179,25 +199,23 @@ class VersionedTable:
 
     def last_batch(self, writer: str) -> int | None:
         """The newest batch of a writer that is in the table."""
-        return max((c.batch for c in self._commits() if c.writer == writer and c.batch is not None),
-                   default=None)
+        return self._state(writer=writer).batch
 
     def commit_of(self, version: int) -> Commit:
-        for c in self._commits():
-            if c.version == version and c.kind != EXPIRE:
-                return c
-        raise VersionNotFound(f"version {version} does not exist")
+        found = self._between(version, version)
+        if not found:
+            raise VersionNotFound(f"version {version} does not exist")
+        return found[0]
 
-    def latest_version(self) -> int:
-        commits = [c for c in self._commits() if c.kind != EXPIRE]
-        if not commits:
-            raise VersionNotFound(f"no table at {self.path}")
-        return commits[-1].version
+    def schema_of(self, version: int) -> T.StructType:
+        return self._at(version).struct
+
+    def has_pending_upserts(self) -> bool:
+        """Whether readers have to resolve upserts."""
+        return any(c.kind == UPSERT for c in self._live(self._at(None)))
 
-    def rows_written(self, version: int) -> int:
-        """Rows in the directories of a version, from the log: an upper bound of its
-        row count (upserts may replace some)."""
-        return sum(c.row_count for c in self._live(self._commits(), version))
+    def latest_version(self) -> int:
+        return self._at(None).last.version
 
     def version_at(self, moment: dt.datetime) -> int:
         """The last version committed at or before a moment (session time zone)."""
@@ -212,91 +230,88 @@ class VersionedTable:
 
     # -- reading --------------------------------------------------------------
 
-    @staticmethod
-    def _chain(commits: list[Commit], version: int) -> list[Commit]:
+    def _chain(self, state: State) -> list[Commit]:
         """The commits a version rests on, oldest first: back to the last full write,
         through a restore to what it points at."""
-        upto = [c for c in commits if c.version <= version and c.kind != EXPIRE]
-        if not upto or upto[-1].version != version:
-            raise VersionNotFound(f"version {version} does not exist")
-        start = max((i for i, c in enumerate(upto) if c.kind in (OVERWRITE, RESTORE)), default=0)
-        before = []
-        if upto[start].kind == RESTORE:
-            before = VersionedTable._chain(commits, upto[start].refers_to)
-        return before + upto[start:]
-
-    @staticmethod
-    def _live(commits: list[Commit], version: int) -> list[Commit]:
-        """The commits whose directories make up a version, oldest first."""
-        return [c for c in VersionedTable._chain(commits, version) if c.directory]
+        found = self._between(state.start or 0, state.last.version)
+        if found[0].kind == RESTORE:
+            found = self._chain(self._state(found[0].refers_to)) + found
+        return found
 
-    def _check_retained(self, commits: list[Commit], version: int) -> None:
-        floor = max((c.version for c in commits if c.kind == EXPIRE), default=None)
-        if floor is not None and version < floor:
-            raise VersionNotFound(f"version {version} has been expired; {floor} is the oldest kept")
+    def _live(self, state: State) -> list[Commit]:
+        """The commits whose directories make up a version, oldest first."""
+        return [c for c in self._chain(state) if c.directory]
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version (default: the latest)."""
-        commits = self._commits()
-        numbered = [c for c in commits if c.kind != EXPIRE]
-        if not numbered:
-            raise VersionNotFound(f"no table at {self.path}")
-        if version is None:
-            version = numbered[-1].version
-        self._check_retained(commits, version)
-        live = self._live(commits, version)
-        return self._assemble(live, next(c for c in numbered if c.version == version).struct)
-
-    def read_since(self, after: int, upto: int) -> tuple[DataFrame | None, bool]:
-        """Rows of version ``upto`` that commits later than ``after`` wrote (None if
-        there are none), and whether those commits rewrote older rows as well.
-        Directories of earlier commits are not even listed."""
-        commits = self._commits()
-        live = [c for c in self._live(commits, upto) if c.version > after]
+        state = self._at(version)
+        return self._assemble(self._live(state), state.struct)
+
+    def read_since(self, after: int, upto: int) -> DataFrame | None:
+        """Rows of version ``upto`` that came with commits later than ``after`` (None if
+        no such commit is left).  Directories of earlier commits are not listed; of a
+        compacted one only the rows that are later are taken, by their own number."""
+        state = self._at(upto)
+        live = [c for c in self._live(state) if c.version > after]
         if not live:
-            return None, False
-        schema = next(c for c in commits if c.version == upto and c.kind != EXPIRE).struct
-        return self._assemble(live, schema), any(c.kind == OVERWRITE for c in live)
+            return None
+        return self._assemble(live, state.struct, versions=True).where(F.col(_VERSION) > after).drop(_VERSION)
 
     def read_at(self, moment: dt.datetime) -> DataFrame:
         return self.read(self.version_at(moment))
 
-    def _assemble(self, live: list[Commit], schema: T.StructType) -> DataFrame:
+    def _assemble(self, live: list[Commit], schema: T.StructType, versions: bool = False) -> DataFrame:
         upserts = [c for c in live if c.kind == UPSERT]
         if not upserts:
-            return self._scan(live, schema)      # nothing to resolve: one plain scan
-        return resolve_upserts(
+            return self._scan(live, schema, versions)      # nothing to resolve: one plain scan
+        rows = resolve_upserts(
             self._scan(live, schema, versions=True),
             self._scan(upserts, schema, versions=True),
             upserts[-1].keys,
-        ).select(*schema.names)
+        )
+        return rows.select(*schema.names, *([_VERSION] if versions else []))
 
     def _scan(self, commits: list[Commit], schema: T.StructType, versions: bool = False) -> DataFrame:
         paths = [self._directory(c.directory) for c in commits]
         # The directory names are a partition column, so the version of a row comes
-        # from its path and costs nothing to store or to filter on.
-        full = T.StructType([*schema.fields, T.StructField("_commit", T.StringType())])
+        # from its path and costs nothing to store or to filter on.  Compacted rows
+        # carry their number themselves.
+        extra = [T.StructField(_ORIGIN, T.LongType())] if versions else []
+        full = T.StructType([*schema.fields, *extra, T.StructField("_commit", T.StringType())])
         df = (
             self.spark.read.schema(full).option("basePath", f"{self.path}/data").parquet(*paths)
         )
         if versions:
             number = F.substring_index(F.col("_commit"), "-", 1).cast("bigint")
-            return df.withColumn(_VERSION, number).select(*schema.names, _VERSION)
+            return df.withColumn(_VERSION, F.coalesce(_ORIGIN, number)).select(*schema.names, _VERSION)
         return df.select(*schema.names)
 
     def changes(self, after: int, upto: int | None = None) -> DataFrame:
-        """Rows written by the commits after one version, up to another, with
-        ``_version`` and ``_change`` (append, upsert or overwrite)."""
-        commits = self._commits()
-        upto = self.latest_version() if upto is None else upto
-        self._check_retained(commits, after + 1)
-        picked = [c for c in commits if after < c.version <= upto and c.directory and c.kind != EXPIRE]
-        schema = [c for c in commits if c.kind != EXPIRE and c.version <= upto][-1].struct
+        """What the commits after one version, up to another, did to the rows, with
+        ``_version`` and ``_change``.
+
+        Appended and upserted rows come as they were written (``append``, ``upsert``).
+        A commit that replaces the table comes as the difference it made (``delete``,
+        ``insert``).  Compaction changes nothing and does not show."""
+        state = self._at(upto)
+        upto, schema = state.last.version, state.struct
+        if state.floor is not None and after + 1 < state.floor:
+            raise VersionNotFound(f"versions before {state.floor} have been expired")
+        picked = [c for c in self._between(after + 1, upto) if c.operation != OPTIMIZE]
         parts = [
             self._scan([c for c in picked if c.kind == kind], schema, versions=True)
             .withColumn("_change", F.lit(kind))
-            for kind in (APPEND, UPSERT, OVERWRITE) if any(c.kind == kind for c in picked)
+            for kind in (APPEND, UPSERT) if any(c.kind == kind for c in picked)
         ]
+        for c in picked:
+            if c.kind in (OVERWRITE, RESTORE):
+                new = self.read(c.version)
+                new = new.select(*[F.col(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+                old = self.read(c.version - 1) if c.version else None
+                old = self._empty(schema) if old is None else old.select(
+                    *[F.col(f.name) if f.name in old.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+                for rows, change in ((old.exceptAll(new), DELETE), (new.exceptAll(old), INSERT)):
+                    parts.append(rows.withColumns({_VERSION: F.lit(c.version).cast("bigint"), "_change": F.lit(change)}))
         if not parts:
             return self._empty(schema).withColumns(
                 {_VERSION: F.lit(None).cast("bigint"), "_change": F.lit(None).cast("string")})
@@ -317,18 +332,18 @@ class VersionedTable:
         facts: dict | None = None, writer: str | None = None, batch: int | None = None,
         replay: bool = False, now: dt.datetime | None = None,
     ) -> int:
-        commits = self._commits()
-        numbered = [c for c in commits if c.kind != EXPIRE]
-        last = numbered[-1] if numbered else None
-        if writer is not None and batch is not None and not replay:
-            done = next((c for c in numbered if c.writer == writer and c.batch is not None
-                         and c.batch >= batch), None)
-            if done is not None:
-                return done.version          # this batch is already in the table
+        state = self._state(writer=writer)
+        last = state.last
+        if batch is not None and state.batch is not None and state.batch >= batch and not replay:
+            return last.version              # this batch is already in the table
         version = last.version + 1 if last else 0
-        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema])
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema if f.name != _ORIGIN])
         if last and not replace_schema:
-            schema = _merged_schema(last.struct, schema)
+            schema = _merged_schema(state.struct, schema)
+        if kind == UPSERT:
+            pending = {tuple(c.keys) for c in self._live(state) if c.kind == UPSERT} - {tuple(keys)}
+            if pending:
+                raise ValueError(f"upserts on {sorted(pending)} are pending; compact before upserting on {list(keys)}")
         if partition_by is None:
             partition_by = last.partition_by if last else []
         elif last and kind in (APPEND, UPSERT) and list(partition_by) != list(last.partition_by):
@@ -347,7 +362,8 @@ class VersionedTable:
         return self._publish(Commit(
             version=version, committed_at=now or dt.datetime.now(), operation=operation, kind=kind,
             directory=directory, row_count=row_count,
-            metrics=json.dumps({**found, **(facts or {})}, default=str, sort_keys=True), schema=schema.json(),
+            metrics=json.dumps({**found, **(facts or {})}, default=str, sort_keys=True),
+            schema=None if schema == state.struct else schema.json(),
             partition_by=list(partition_by), keys=list(keys), writer=writer, batch=batch))
 
     def append(self, df: DataFrame, **options) -> int:
@@ -376,18 +392,17 @@ class VersionedTable:
     def restore(self, version: int, now: dt.datetime | None = None) -> int:
         """Make an old version current again, as a new version.  Only the log grows:
         no row is copied."""
-        commits = self._commits()
-        self._check_retained(commits, version)
-        live = self._live(commits, version)
-        old = next(c for c in commits if c.version == version and c.kind != EXPIRE)
-        latest = [c for c in commits if c.kind != EXPIRE][-1].version
+        old, latest = self._at(version), self._state()
         return self._publish(Commit(
-            version=latest + 1, committed_at=now or dt.datetime.now(), operation="RESTORE", kind=RESTORE,
-            refers_to=version, schema=old.schema, partition_by=old.partition_by, keys=live[-1].keys))
+            version=latest.last.version + 1, committed_at=now or dt.datetime.now(), operation="RESTORE", kind=RESTORE,
+            refers_to=version, schema=None if old.struct == latest.struct else old.struct.json(),
+            partition_by=old.last.partition_by, keys=old.last.keys))
 
     def add_columns(self, defaults: dict[str, object], now: dt.datetime | None = None) -> int:
         """Add constant columns that are not there yet; all rows are kept."""
-        return self.overwrite(with_defaults(self.read(), defaults), operation="ADD COLUMNS", now=now)
+        state = self._at(None)
+        rows = self._assemble(self._live(state), state.struct, versions=True).withColumnRenamed(_VERSION, _ORIGIN)
+        return self.overwrite(with_defaults(rows, defaults), operation="ADD COLUMNS", now=now)
 
     def compact(
         self, target_bytes: int = TARGET_FILE_BYTES, zorder_by: list[str] | None = None,
@@ -396,45 +411,40 @@ class VersionedTable:
         """Rewrite the current rows into few large files, optionally clustered."""
         from silverlode.operators.layout import pack, zorder
 
-        commits = [c for c in self._commits() if c.kind != EXPIRE]
-        live = self._live(commits, commits[-1].version)
+        state = self._at(None)
+        live = self._live(state)
         size = sum(path_bytes(self.spark, self._directory(c.directory)) for c in live)
         files = max(1, -(-size // target_bytes))
-        rows = self._assemble(live, commits[-1].struct)
+        rows = self._assemble(live, state.struct, versions=True).withColumnRenamed(_VERSION, _ORIGIN)
+        partition_by = state.last.partition_by
         if zorder_by:
-            rows = zorder(rows, zorder_by, partitions=files)
+            rows = zorder(rows, zorder_by, files, partition_by)
         else:
-            rows = pack(rows, files, commits[-1].partition_by,
-                        shuffled=any(c.kind == UPSERT for c in live[1:]))
-        return self.overwrite(rows, operation="OPTIMIZE", now=now)
+            rows = pack(rows, files, partition_by, shuffled=any(c.kind == UPSERT for c in live[1:]))
+        return self.overwrite(rows, operation=OPTIMIZE, now=now)
 
     def expire(self, before: dt.datetime, now: dt.datetime | None = None) -> int:
         """Give up time travel to versions older than the one current at ``before``.
-        Directories no kept version needs are deleted, also those of failed attempts,
-        and the log forgets what it no longer has to know.  Returns the oldest version
-        kept.
+        Directories no kept version needs are deleted, also those of failed attempts.
+        Returns the oldest version kept.
 
         The horizon is published first.  If the job dies after that, what is left on
         disk is merely unused and goes with the next call.
         """
-        commits = self._commits()
+        commits = self._all_commits()
         numbered = [c for c in commits if c.kind != EXPIRE]
-        if not numbered:
-            raise VersionNotFound(f"no table at {self.path}")
         floors = [c.version for c in commits if c.kind == EXPIRE]
         floor = max([c.version for c in numbered if c.committed_at <= before] + floors,
                     default=numbered[0].version)
         self._publish(Commit(version=floor, committed_at=now or dt.datetime.now(),
                              operation="EXPIRE", kind=EXPIRE))
-        kept = [c for v in numbered if v.version >= floor for c in self._chain(commits, v.version)]
-        directories = {c.directory for c in kept}
+        # the oldest kept version needs its chain; later ones need their own directories on top
+        chain = self._chain(self._state(floor))
+        restored = [c for v in numbered if v.kind == RESTORE and v.version >= floor for c in self._chain(self._state(v.version))]
+        kept = {c.directory for c in [*chain, *restored, *[c for c in numbered if c.version >= floor]]}
         for name in list_names(self.spark, f"{self.path}/data"):
-            if name not in directories:
+            if name not in kept:
                 remove_path(self.spark, self._directory(name))
-        last_batches = {c.writer: c for c in numbered if c.batch is not None}.values()
-        versions = sorted({c.version for c in [*kept, *last_batches]})
-        self._roll_log((F.col("kind") != EXPIRE) & F.col("version").isin(versions)
-                       | (F.col("kind") == EXPIRE) & (F.col("version") == floor))
         return floor
 
 
@@ -444,30 +454,35 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 
 
 def compare(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
-    """One row: how many keys were added, removed, changed and left as they were,
-    and the row counts of both sides.  Exact: whole rows are compared."""
+    """One row: rows on both sides, and how many were added, removed, changed and left as
+    they were.  Exact: whole rows are compared.
+
+    Rows are paired within a key, equal ones first, so a key given several times (or
+    NULL, which is one key) counts each row once: of what is left of a key after equal
+    rows, as many as both sides have are changed, the rest are added or removed.  Both
+    sides meet in map-side combined counts, never in a join.
+    """
     shared = [c for c in after.columns if c in before.columns and c not in keys]
 
-    def packed(df: DataFrame, side: str) -> DataFrame:
-        return df.select(*[F.col(k).alias(f"{side}_{k}") for k in keys],
-                         F.struct(F.lit(True).alias("present"), *[F.col(c) for c in shared]).alias(f"{side}_row"))
-
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(f"old_{k}").eqNullSafe(F.col(f"new_{k}"))
-    old, new = F.col("old_row"), F.col("new_row")
-
-    def total(condition: Column) -> Column:
-        return F.count(F.when(condition, 1))
-
-    return packed(before, "old").join(packed(after, "new"), on, "full_outer").agg(
-        total(old.isNotNull()).alias("rows_before"),
-        total(new.isNotNull()).alias("rows_after"),
-        total(old.isNull()).alias("added"),
-        total(new.isNull()).alias("removed"),
-        total(old.isNotNull() & new.isNotNull() & ~old.eqNullSafe(new)).alias("changed"),
-        total(old.eqNullSafe(new)).alias("unchanged"),
-    )
+    def counted(df: DataFrame, old: int) -> DataFrame:
+        return df.select(*keys, *shared, F.lit(old).alias("_old"), F.lit(1 - old).alias("_new"))
+
+    both = counted(before, 1).unionByName(counted(after, 0))
+    rows = both.groupBy(*keys, *shared).agg(F.sum("_old").alias("_old"), F.sum("_new").alias("_new"))
+    same = F.least("_old", "_new")
+    by_key = rows.groupBy(*keys).agg(
+        F.sum("_old").alias("_old"), F.sum("_new").alias("_new"), F.sum(same).alias("_same"))
+    changed = F.least(F.col("_old") - F.col("_same"), F.col("_new") - F.col("_same"))
+    by_key = by_key.withColumn("_changed", changed)
+
+    def total(column: Column) -> Column:
+        return F.coalesce(F.sum(column), F.lit(0))
+
+    old, new, same, changed = (F.col(c) for c in ("_old", "_new", "_same", "_changed"))
+    return by_key.agg(
+        total(old).alias("rows_before"), total(new).alias("rows_after"),
+        total(new - same - changed).alias("added"), total(old - same - changed).alias("removed"),
+        total(changed).alias("changed"), total(same).alias("unchanged"))
 
 
 def check_append(table: VersionedTable, before: int, after: int) -> DataFrame:

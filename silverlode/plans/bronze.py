@@ -70,7 +70,7 @@ def ingest(
 def register_latest(table: VersionedTable, version: int, name: str) -> None:
     """(Re-)point a catalog table at the rows of one commit, without a copy."""
     commit = table.commit_of(version)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in commit.struct)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema_of(version))
     parts = ", ".join(f"`{c}`" for c in commit.partition_by)
     location = table._directory(commit.directory).replace("'", "\\'")
     table.spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from silverlode.functions import day_key, days_between, exact_avg, exact_sum
 from silverlode.functions.time import clock
+from silverlode.operators.merge import merge_by_key
 from silverlode.operators.versioned import VersionedTable
 from silverlode.session import Stage
 from silverlode.sources.layers import TABLES, Layers
@@ -299,8 +300,9 @@ def write_gold(df: DataFrame, layers: Layers, name: str, now: dt.datetime | None
     a shuffle that the partitioned layout makes pointless."""
     layout = LAYOUT[name]
     table = VersionedTable(df.sparkSession, layers.path("gold", name))
-    if "keys" in layout:
-        return table.upsert(df, layout["keys"], check_unique=False, now=now)
+    if "keys" in layout:                      # rows of earlier runs whose key is gone stay
+        old = table.read() if table.exists() else None
+        return table.overwrite(merge_by_key(old, df, layout["keys"]), operation="MERGE", keys=layout["keys"], now=now)
     parts = layout.get("partition_by", [])
     if parts:
         df = df.hint("rebalance", *[F.col(c) for c in parts]).sortWithinPartitions(

@@ -14,7 +14,6 @@ from silverlode.functions.time import clock
 from silverlode.operators.rules import (
     FAILED, PASSED, STATUS, customer_rules, product_rules, transaction_rules,
 )
-from silverlode.operators.skew import hot_key_hashes
 from silverlode.operators.versioned import VersionedTable
 from silverlode.session import Stage
 from silverlode.sources.layers import Layers
@@ -151,16 +150,13 @@ def process_entity(
         if pending is not None and (done is None or pending > done):
             upto = pending
     if incremental and done is not None:
-        rows, rewritten = bronze.read_since(done, upto)
-        if rows is not None and rewritten:        # compacted since: tell old rows by their time
-            rows = newer_than(rows, processed_until(spark, layers, entity))
+        rows = bronze.read_since(done, upto)      # by commit, whatever the clocks said
     else:
         rows = bronze.read(upto)
     if rows is None or rows.isEmpty():
         return SilverResult(0, 0)
 
-    hot = hot_key_hashes(rows, schemas.KEYS[entity], known_rows=bronze.rows_written(upto))
-    tagged = _rules(spark, layers, entity, hot, strict_parity).tag(rows, now)
+    tagged = _rules(spark, layers, entity, strict_parity).tag(rows, now)
     guard = {"writer": _WRITER, "batch": upto, "replay": not incremental, "now": now}
     watch = {
         _MARK: F.unix_micros(F.max("ingestion_timestamp")),
@@ -187,18 +183,18 @@ def _latest(silver: VersionedTable, batch_mark: int | None) -> int | None:
     return max((m for m in (before, batch_mark) if m is not None), default=None)
 
 
-def _rules(spark: SparkSession, layers: Layers, entity: str, hot: list[int], strict_parity: bool):
+def _rules(spark: SparkSession, layers: Layers, entity: str, strict_parity: bool):
     if entity == "customers":
-        return customer_rules(hot=hot)
+        return customer_rules()
     if entity == "products":
-        return product_rules(hot=hot, strict_parity=strict_parity)
+        return product_rules(strict_parity=strict_parity)
     references = {}
     for name in ("customers", "products"):
         table = VersionedTable(spark, layers.path("bronze", name))
         if table.exists():                    # no reference table, no check
             references[name] = table.read()
     return transaction_rules(references.get("customers"), references.get("products"),
-                             hot=hot, strict_parity=strict_parity)
+                             strict_parity=strict_parity)
 
 
 def build_silver(

@@ -43,6 +43,17 @@ def compact_tables(
         zorder_by=CLUSTERED.get((layer, name)), now=now))
 
 
+def fold_upserts(spark: SparkSession, layers: Layers, now: dt.datetime | None = None) -> list[str]:
+    """Compact the silver tables whose latest commit is an upsert."""
+    done = []
+    for name in TABLES["silver"]:
+        table = VersionedTable(spark, layers.path("silver", name))
+        if table.exists() and table.has_pending_upserts():
+            table.compact(zorder_by=CLUSTERED.get(("silver", name)), now=now)
+            done.append(name)
+    return done
+
+
 def expire_tables(
     spark: SparkSession, layers: Layers, retention_hours: float = 168,
     tables: dict | None = None, now: dt.datetime | None = None,

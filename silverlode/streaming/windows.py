@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silverlode.functions.money import exact_sum
+
 # Window length and how long late rows are waited for.
 WINDOW, LATENESS = "1 minute", "10 minutes"
 
@@ -16,12 +18,12 @@ def window_totals(
     """Count and revenue per tumbling window and status.
 
     Works on a stream and on a batch.  Only two totals per open (window, status)
-    are kept as state, and the watermark lets go of closed windows.  Revenue is a
-    plain double sum: state rows are updated batch by batch, in arrival order.
+    are kept as state, and the watermark lets go of closed windows.  Revenue in whole
+    cents is the same whatever order rows arrive in.
     """
     return (
         events.withWatermark(event_time, lateness)
         .groupBy(F.window(event_time, window), "status")
         .agg(F.count("transaction_id").alias("transaction_count"),
-             F.sum("final_amount").alias("total_revenue"))
+             exact_sum("final_amount").alias("total_revenue"))
     )

@@ -11,7 +11,6 @@ from silverlode.operators import (
     split_duplicates, split_foreign_key, split_nulls, split_range,
 )
 from silverlode.operators.rules import product_rules, stamp_verdict, transaction_rules, verdict_counts
-from silverlode.operators.skew import hot_key_hashes
 
 T0 = dt.datetime(2024, 1, 1, 10)
 
@@ -133,44 +132,41 @@ def _random_rows(seed, n=600):
     } for i in range(n)]
 
 
-@pytest.mark.parametrize("route", ["cold", "hot"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_single_pass_equals_the_funnel(spark, seed, route):
+def test_single_pass_equals_the_funnel(spark, seed):
     rows = _random_rows(seed)
     customers, products = {f"c{k}" for k in range(10)}, {f"p{k}" for k in range(10)}
     df = spark.createDataFrame([tuple(r[f] for f in FIELDS) for r in rows], DDL).repartition(5)
     ref_c = spark.createDataFrame([(c,) for c in customers], "customer_id string")
     ref_p = spark.createDataFrame([(p,) for p in products], "product_id string")
-    hot = []
-    if route == "hot":
-        hot = hot_key_hashes(df.where("transaction_id is not null"), ["transaction_id"], share=0.2, min_rows=1)
-        assert len(hot) == 1
-    tagged = transaction_rules(ref_c, ref_p, ties=["seq"], hot=hot).tag(df)
+    tagged = transaction_rules(ref_c, ref_p, ties=["seq"]).tag(df)
     assert {r.seq: r.error_message for r in tagged.collect()} == _brute(rows, customers, products)
 
 
-def test_hot_route_with_exact_copies_keeps_one(spark):
+def test_a_key_with_a_third_of_the_rows(spark):
+    """Exact copies keep one, and no task of the last ranking holds the key whole."""
     df = spark.range(900).selectExpr(
         "if(id % 3 = 0, 'hot', concat('k', id)) as k", "1 as v",
         "timestamp'2024-01-01 00:00:00' as ingestion_timestamp").repartition(6)
-    hot = hot_key_hashes(df, ["k"], min_rows=1, share=0.2)
-    assert len(hot) == 1
-    for h in ([], hot):
-        ranked = rank_within_key(df, ["k"], hot=h)
-        assert ranked.where("_rank = 1").count() == 601
-        assert ranked.count() == 900
+    ranked = rank_within_key(df, ["k"])
+    assert ranked.where("_rank = 1").count() == 601 and ranked.count() == 900
     assert newest_per_key(df, ["k"]).count() == 601
 
 
-def test_hot_key_search_ignores_even_data(spark):
-    assert hot_key_hashes(spark.range(5000), ["id"], min_rows=1) == []
+def test_no_job_runs_while_a_plan_is_built(spark):
+    df = spark.range(50).selectExpr("cast(id % 7 as string) as product_id", "'x' as product_name", "1.0D as price",
+                                    "timestamp'2024-01-01 00:00:00' as ingestion_timestamp")
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    product_rules().tag(df)
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_strict_parity_drops_missing_range_values(spark):
     df = spark.createDataFrame(
         [("1", "P", 5.0, T0), ("2", "Q", -5.0, T0), ("3", "R", None, T0)],
         "product_id string, product_name string, price double, ingestion_timestamp timestamp")
-    assert product_rules(hot=[]).tag(df).count() == 3
+    assert product_rules().tag(df).count() == 3
     only_range = Ruleset([Range("price", low=0)], strict_parity=True)
     assert only_range.tag(df).count() == 2
 
@@ -179,7 +175,7 @@ def test_newer_bad_row_displaces_older_good_row(spark):
     df = spark.createDataFrame(
         [("1", "P", 5.0, T0), ("1", "P", -5.0, T0 + dt.timedelta(hours=1))],
         "product_id string, product_name string, price double, ingestion_timestamp timestamp")
-    good, bad = product_rules(hot=[]).split(df)
+    good, bad = product_rules().split(df)
     assert good.count() == 0
     assert {r.error_message for r in bad.collect()} == {"Duplicate product_id", "price must be >= 0"}
 
@@ -188,7 +184,7 @@ def test_accepted_and_rejected_are_the_input(spark):
     rows = _random_rows(7)
     df = spark.createDataFrame([tuple(r[f] for f in FIELDS) for r in rows], DDL)
     rules = Ruleset([
-        NotNull(["transaction_id"]), Unique(["transaction_id"], hot=[]), Range("quantity", 1, 2),
+        NotNull(["transaction_id"]), Unique(["transaction_id"]), Range("quantity", 1, 2),
         ForeignKey("customer_id", df.select("customer_id").where("customer_id < 'c5'"))])
     good, bad = rules.split(df)
     both = good.unionByName(bad).select(*df.columns)

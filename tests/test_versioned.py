@@ -26,8 +26,8 @@ def rows(df):
 
 
 def test_versions_and_history(spark, table):
-    assert table.overwrite(kv(spark, ("1", 100), ("2", 200)), now=DAY[0]) == 0
-    assert table.append(kv(spark, ("3", 300)), now=DAY[1]) == 1
+    assert table.overwrite(kv(spark, ("oak", 41), ("elm", 17)), now=DAY[0]) == 0
+    assert table.append(kv(spark, ("fir", 8)), now=DAY[1]) == 1
     assert table.read(0).count() == 2
     assert table.read(1).count() == table.read().count() == 3
     assert [(r.version, r.operation, r.row_count) for r in table.history().collect()] == [
@@ -58,14 +58,14 @@ def test_a_version_does_not_change_with_later_commits(spark, table):
 
 
 def test_upsert(spark, table):
-    table.upsert(kv(spark, ("1", 100), ("2", 200)), ["id"])
-    source = kv(spark, ("1", 150), ("3", 300))
+    table.upsert(kv(spark, ("elm", 17), ("oak", 41)), ["id"])
+    source = kv(spark, ("fir", 8), ("oak", 44))
     table.upsert(source, ["id"])
-    expected = [("1", 150), ("2", 200), ("3", 300)]
+    expected = [("elm", 17), ("fir", 8), ("oak", 44)]
     assert rows(table.read()) == expected
     table.upsert(source, ["id"])                     # again: no change
     assert rows(table.read()) == expected
-    assert rows(merge_by_key(kv(spark, ("1", 100), ("2", 200)), source, ["id"])) == expected
+    assert rows(merge_by_key(kv(spark, ("elm", 17), ("oak", 41)), source, ["id"])) == expected
 
 
 def test_upsert_null_keys_are_added_and_double_keys_refused(spark, table):
@@ -124,21 +124,37 @@ def test_failed_attempt_is_invisible(spark, table):
     assert rows(table.read()) == [("1", 1), ("2", 2)]
 
 
-def test_log_is_rolled_into_one_file(spark, table, monkeypatch):
-    from silverlode.operators import versioned
-    from silverlode.session import list_names
-    monkeypatch.setattr(versioned, "LOG_FILES", 4)
-    for i in range(7):
-        table.append(kv(spark, (str(i), i)), now=DAY[i])
-    assert table._log_part() >= 2
-    assert [r.version for r in table.history().collect()] == [6, 5, 4, 3, 2, 1, 0]
-    assert table.read(2).count() == 3 and table.read().count() == 7
-    # a roll that died half-way is not seen
-    part = table._log_part() + 1
-    table.log().limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{table.path}/log/part={part}")
-    assert "_SUCCESS" not in list_names(spark, f"{table.path}/log/part={part}")
-    assert table.latest_version() == 6
+def test_tables_without_success_markers(spark, table):
+    option = "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set(option.removeprefix("spark.hadoop."), "false")
+    try:
+        assert [table.append(kv(spark, (str(i), i))) for i in range(3)] == [0, 1, 2]
+        assert table.read().count() == 3 and table.read(1).count() == 2
+    finally:
+        hadoop.unset(option.removeprefix("spark.hadoop."))
+
+
+def test_only_live_commits_reach_the_driver(spark, table):
+    for i in range(4):
+        table.append(kv(spark, (str(i), i)))
+    table.compact()
+    table.append(kv(spark, ("9", 9)))
+    state = table._at(None)
+    assert [c.version for c in table._live(state)] == [4, 5] and state.struct.names == ["id", "value"]
+    assert [r.schema is None for r in table.log().orderBy("version").collect()] == [False, True, True, True, True, True]
+
+
+def test_upserts_on_other_keys_are_refused_until_folded(spark, table):
+    def xy(*r):
+        return spark.createDataFrame(list(r), "x int, y int, v string")
+    table.upsert(xy((1, 10, "a"), (2, 20, "b")), ["x"])
+    table.upsert(xy((1, 99, "a2")), ["x"])
+    with pytest.raises(ValueError):
+        table.upsert(xy((3, 20, "c")), ["y"])
+    table.compact()
+    table.upsert(xy((3, 20, "c")), ["y"])
+    assert rows(table.read()) == [(1, 99, "a2"), (3, 20, "c")]
 
 
 def test_replayed_batch_is_skipped(spark, table):
@@ -187,7 +203,6 @@ def test_expiry_frees_what_no_kept_version_needs(spark, table):
     assert rows(table.read()) == [("z", 0)]
     with pytest.raises(VersionNotFound):
         table.read(3)
-    assert [r.version for r in table.history().collect()] == [4]
     from silverlode.session import list_names
     assert list_names(spark, f"{table.path}/data") == [table.commit_of(4).directory]
 
@@ -212,22 +227,49 @@ def test_expiry_keeps_what_a_restore_and_a_writer_need(spark, table):
 
 
 def test_compare_and_append_check(spark, table):
-    table.append(kv(spark, ("1", 1), ("2", 2), ("3", None)))
-    table.append(kv(spark, ("4", 4), ("5", 5)))
+    table.append(kv(spark, ("oak", 41), ("elm", 17), ("ash", None)))
+    table.append(kv(spark, ("fir", 8), ("yew", 23)))
     assert check_append(table, 0, 1).first().asDict() == {
         "rows_before": 3, "rows_written": 2, "rows_after": 5, "consistent": True}
-    other = kv(spark, ("2", 2), ("3", 3), ("4", 4), ("6", 6))
+    other = kv(spark, ("elm", 17), ("ash", 30), ("fir", 8), ("box", 61))
     assert compare(table.read(), other, ["id"]).first().asDict() == {
         "rows_before": 5, "rows_after": 4, "added": 1, "removed": 2, "changed": 1, "unchanged": 2}
 
 
+def test_compare_pairs_repeated_and_missing_keys(spark):
+    a = kv(spark, (None, 1), (None, 2), (None, 3), ("1", 1), ("1", 1))
+    b = kv(spark, (None, 1), (None, 9), ("1", 1), ("2", 2))
+    assert compare(a, a, ["id"]).first().asDict() == {
+        "rows_before": 5, "rows_after": 5, "added": 0, "removed": 0, "changed": 0, "unchanged": 5}
+    assert compare(a, b, ["id"]).first().asDict() == {
+        "rows_before": 5, "rows_after": 4, "added": 1, "removed": 2, "changed": 1, "unchanged": 2}
+    assert compare(a.limit(0), a.limit(0), ["id"]).first().rows_before == 0
+
+
 def test_changes(spark, table):
-    table.append(kv(spark, ("1", 1)))
-    table.append(kv(spark, ("2", 2)))
-    table.append(kv(spark, ("3", 3)))
-    assert rows(table.changes(after=0)) == [("2", 2, 1, "append"), ("3", 3, 2, "append")]
-    assert rows(table.changes(after=0, upto=1)) == [("2", 2, 1, "append")]
+    table.append(kv(spark, ("oak", 41)))
+    table.append(kv(spark, ("elm", 17)))
+    table.append(kv(spark, ("fir", 8)))
+    assert rows(table.changes(after=0)) == [("elm", 17, 1, "append"), ("fir", 8, 2, "append")]
+    assert rows(table.changes(after=0, upto=1)) == [("elm", 17, 1, "append")]
+    assert table.changes(after=2).count() == 0
+    table.compact()                                    # changes no row
     assert table.changes(after=2).count() == 0
+    table.restore(0)
+    assert rows(table.changes(after=2)) == [("elm", 17, 4, "delete"), ("fir", 8, 4, "delete")]
+    table.overwrite(kv(spark, ("oak", 41), ("yew", 5)))
+    assert rows(table.changes(after=4)) == [("yew", 5, 5, "insert")]
+
+
+def test_compaction_keeps_commit_numbers(spark, table):
+    table.append(kv(spark, ("oak", 41)))
+    table.append(kv(spark, ("elm", 17)))
+    table.compact()
+    table.append(kv(spark, ("fir", 8)))
+    table.compact()
+    assert rows(table.read_since(0, 4)) == [("elm", 17), ("fir", 8)]
+    assert rows(table.read_since(1, 4)) == [("fir", 8)] and rows(table.read_since(3, 4)) == []
+    assert table.read().columns == ["id", "value"]
 
 
 def test_interleave_matches_bit_by_bit(spark):
@@ -256,3 +298,24 @@ def test_zorder_narrows_both_columns_and_cuts_hot_values(spark):
     same = spark.range(8000, numPartitions=8).selectExpr("1 as a", "2 as b")
     sizes = [r["count"] for r in zorder(same, ["a", "b"], partitions=4).groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 1 and max(sizes) <= 4000
+
+
+def test_ids_with_a_common_start_are_clustered(spark):
+    n = 60000
+    df = spark.range(n, numPartitions=6).selectExpr("format_string('TXN_%08d', (id * 7919) % 60000) as k", "id % 97 as v")
+    for columns in (["k"], ["k", "v"]):
+        out = zorder(df, columns, partitions=16)
+        assert out.count() == n
+        spans = out.groupBy(F.spark_partition_id()).agg(F.min("k").alias("a"), F.max("k").alias("b")).collect()
+        cover = [sum(r.a <= f"TXN_{k:08d}" <= r.b for r in spans) for k in range(0, n, 1111)]
+        assert sum(cover) / len(cover) <= (1.2 if len(columns) == 1 else 8)
+
+
+def test_compaction_of_partitioned_tables_makes_few_files(spark, table):
+    df = spark.range(4000, numPartitions=8).selectExpr("id", "id % 20 as p")
+    table.append(df, partition_by=["p"])
+    before = len(table.read().inputFiles())
+    table.compact()
+    assert len(table.read().inputFiles()) <= 20 < before
+    table.compact(zorder_by=["id"])
+    assert len(table.read().inputFiles()) <= 20 and table.read().count() == 4000

@@ -15,7 +15,6 @@ from silverlode.operators import (
 from silverlode.operators.rules import (
     CHECKED_AT, customer_rules, product_rules, split_tagged, transaction_rules, verdict_counts,
 )
-from silverlode.operators.skew import hot_key_hashes
 from silverlode.operators.versioned import VersionNotFound, check_append, compare
 from silverlode.plans import gold
 from silverlode.plans.batch import run_batch
@@ -52,14 +51,6 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return transform_transactions(canon.transactions(spark, sf), NOW)
 
 
-def hot_ids(spark: SparkSession, sf: str) -> list[int]:
-    """Hot transaction ids, from the narrow key columns of the line items alone.
-    The row count comes from the Parquet footers."""
-    items = canon.table(spark, sf, "lineitem")
-    ids = items.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"))
-    return hot_key_hashes(ids, ["transaction_id"], known_rows=items.count())
-
-
 # -- bronze --------------------------------------------------------------------
 
 @query
@@ -144,7 +135,7 @@ def dq_dedup(spark, sf):
 @query
 def dq_duplicates(spark, sf):
     return shown(split_duplicates(
-        canon.transactions(spark, sf), ["transaction_id"], ties=canon.TIES, hot=hot_ids(spark, sf))[1])
+        canon.transactions(spark, sf), ["transaction_id"], ties=canon.TIES)[1])
 
 
 @query
@@ -196,7 +187,7 @@ def dq_type(spark, sf):
 
 def _tagged(spark, sf):
     return transaction_rules(
-        _solvent(spark, sf), _sizeable(spark, sf), ties=canon.TIES, hot=hot_ids(spark, sf),
+        _solvent(spark, sf), _sizeable(spark, sf), ties=canon.TIES,
     ).tag(canon.flawed_transactions(spark, sf), NOW)
 
 
@@ -338,7 +329,7 @@ def top_customers_per_day(spark, sf):
 def validated_daily_sales(spark, sf):
     """Validate, standardise, summarise: the way a row takes through the layers."""
     accepted, _ = transaction_rules(
-        canon.customers(spark, sf), canon.products(spark, sf), ties=canon.TIES, hot=hot_ids(spark, sf),
+        canon.customers(spark, sf), canon.products(spark, sf), ties=canon.TIES,
     ).split(canon.transactions(spark, sf), NOW)
     return shown(gold.daily_sales(transform_transactions(accepted, NOW), NOW))
 
