@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 _R_INV = np.uint64(pow(int(_R), -1, 1 << 64))
 

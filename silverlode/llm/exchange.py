@@ -14,8 +14,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Text bytes behind one part of an exchange, and behind one block dealt out to parts.
-PART_BYTES = 16 << 20
-DEAL_BYTES = 16 << 20
+PART_BYTES = 6 << 20
+DEAL_BYTES = 4 << 20
 
 
 def pack(a: np.ndarray) -> bytes:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +40,9 @@ def forget(spark: SparkSession, *paths: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of frames that are no longer referenced."""
-    import gc
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark drop the shuffle files of frames that are no longer referenced.  Its cleaner
+    works beside the driver, once references are gone on both sides."""
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.4)
