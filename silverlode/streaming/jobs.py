@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from silverlode.operators.versioned import VersionedTable
+from silverlode.plans.gold import build_gold
 from silverlode.plans.silver import process_entity
+from silverlode.plans.upkeep import fold_upserts
 from silverlode.sources.layers import Layers
-from silverlode.streaming.events import decode_events, enrich_events
+from silverlode.streaming.events import MALFORMED, decode_events, enrich_events
 from silverlode.streaming.windows import LATENESS, WINDOW, window_totals
 
 # Production trigger intervals.
@@ -42,19 +44,29 @@ def _identity(batch: DataFrame, writer: str) -> str:
 def ingest_stream(
     envelope: DataFrame, table_path: str, checkpoint: str, lateness: str = LATENESS,
     every: str | None = INGEST_EVERY, writer: str = "stream-ingest", name: str | None = None,
-    now: dt.datetime | None = None,
+    now: dt.datetime | None = None, malformed_path: str | None = None,
 ) -> StreamingQuery:
     """Append events to the bronze transactions table.
 
     Exactly once: the checkpoint remembers offsets, and a batch that is replayed
     after a failure finds its number in the table's log and is skipped.  There is
     no stateful step, so the watermark drops nothing: late rows are kept.
+
+    With ``malformed_path`` a message whose value is no JSON object goes there with its
+    text, before the good rows of the batch; otherwise it becomes a row of NULLs that the
+    quality rules reject.
     """
-    rows = enrich_events(decode_events(envelope), now).withWatermark("transaction_timestamp", lateness)
+    decoded = decode_events(envelope, keep_malformed=malformed_path is not None)
+    rows = enrich_events(decoded, now).withWatermark("transaction_timestamp", lateness)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        VersionedTable(batch.sparkSession, table_path).append(
-            batch, operation="STREAM", writer=_identity(batch, writer), batch=batch_id)
+        spark, guard = batch.sparkSession, {"writer": _identity(batch, writer), "batch": batch_id}
+        if malformed_path is not None:
+            torn = batch.where(F.col(MALFORMED).isNotNull()).select(
+                "kafka_key", "kafka_timestamp", F.col(MALFORMED).alias("value_text"), "ingestion_timestamp")
+            VersionedTable(spark, malformed_path).append(torn, operation="STREAM", **guard)
+            batch = batch.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+        VersionedTable(spark, table_path).append(batch, operation="STREAM", **guard)
 
     return _start(rows, sink, "append", checkpoint, every, name)
 
@@ -94,3 +106,17 @@ def silver_stream(
         process_entity(batch.sparkSession, layers, "transactions")
 
     return _start(ticks, sink, "append", checkpoint, every, name)
+
+
+def gold_stream(
+    spark: SparkSession, ticks: DataFrame, layers: Layers, checkpoint: str,
+    every: str | None = TOTALS_EVERY, name: str | None = None, as_of: dt.date | None = None,
+) -> StreamingQuery:
+    """Bring silver and then gold up to date whenever ``ticks`` brings rows.  Gold tables
+    are replaced as a whole, so a repeated batch writes the same again."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        process_entity(batch.sparkSession, layers, "transactions")
+        fold_upserts(batch.sparkSession, layers)
+        build_gold(batch.sparkSession, layers, as_of=as_of)
+
+    return _start(ticks, sink, "append", checkpoint, every, name)

@@ -18,9 +18,9 @@ from silverlode.sources import Layers, read_raw
 
 T = dt.datetime
 TX_CSV = """transaction_id,customer_id,product_id,transaction_date,quantity,unit_price,total_amount,discount,final_amount,payment_method,status,shipping_address
-T1,C1,P1,2024-01-01 10:00:00,2,50.0,100.0,0.0,100.0,Card, completed ,1 Mill Lane
-T2,C2,P2,2024-01-01 11:00:00,1,75.0,75.0,10.0,65.0,PayPal,Completed,4 Hill Road
-T3,C1,P3,2024-01-02 12:00:00,3,30.0,90.0,0.0,90.0,Card,pending,1 Mill Lane
+T1,C1,P1,2023-05-08 09:15:00,4,12.5,50.0,5.0,45.0,Card, completed ,7 Quay Street
+T2,C2,P2,2023-05-08 16:40:00,2,31.0,62.0,0.0,62.0,Transfer,Completed,2 Orchard Way
+T3,C1,P3,2023-05-11 12:05:00,1,18.75,18.75,0.0,18.75,Card,pending,7 Quay Street
 """
 BAD_CSV = """transaction_id,customer_id,product_id,transaction_date,quantity,unit_price,total_amount,discount,final_amount,payment_method,status,shipping_address
 ,C1,P1,2024-01-03 10:00:00,1,1.0,1.0,0.0,1.0,Card,completed,x
@@ -30,14 +30,14 @@ B4,C9,P1,2024-01-03 10:00:00,1,1.0,1.0,0.0,1.0,Card,completed,x
 B5,C1,P1,2024-01-03 10:00:00,many,1.0,1.0,0.0,1.0,Card,completed,x
 """
 CUSTOMER_CSV = """customer_id,customer_name,email,segment,registration_date,country
-C1, Ada Moss,ADA@Example.com ,premium,2023-01-01,usa
-C2,Ivo Lund,ivo@example.com,standard,2023-01-01,uk
-C3,Bea Roth,bea@example.com,budget,2023-01-01,ca
+C1, Runa Vik,RUNA@Example.org ,gold,2019-08-14,norway
+C2,Otto Pell,otto@example.org,silver,2020-02-29,chile
+C3,Mina Dray,mina@example.org,bronze,2022-11-05,kenya
 """
 PRODUCT_CSV = """product_id,product_name,category,price,cost,stock_quantity
-P1,Lamp,electronics,999.99,600.0,50
-P2,Fan,electronics,25.99,10.0,200
-P3,Desk,office,0.0,30.0,150
+P1,Kettle,kitchen,48.40,21.15,73
+P2,Whisk,kitchen,6.85,2.30,410
+P3,Shelf,storage,0.0,14.60,38
 """
 
 
@@ -77,7 +77,7 @@ def test_ingest_adds_lineage_and_appends(spark, lake, raw):
     r = rows.where("transaction_id = 'T1'").first()
     assert r.data_source == "ecommerce" and r.source_file.endswith("t1.csv")
     assert r.ingestion_timestamp == T(2024, 2, 1) and r.ingestion_date == dt.date(2024, 2, 1)
-    assert r.transaction_timestamp == T(2024, 1, 1, 10)
+    assert r.transaction_timestamp == T(2023, 5, 8, 9, 15)
 
 
 def test_catalog_table_shows_the_last_batch_only(spark, lake, raw):
@@ -206,6 +206,29 @@ def test_compaction_of_bronze_does_not_replay_it(spark, lake, raw):
     assert table(spark, lake, "silver", "transactions").count() == 4
 
 
+def test_rows_of_any_clock_survive_compaction(spark, lake, raw):
+    """Two batches with an equal and an earlier clock come in, bronze is compacted, and
+    both are still judged."""
+    load(spark, lake, raw, now=T(2024, 2, 2), references=False)
+    process_entity(spark, lake, "transactions")
+    for i, now in enumerate((T(2024, 2, 2), T(2024, 2, 1))):
+        load(spark, lake, raw, TX_CSV.replace("T1,", f"N{i},"), f"n{i}.csv", now=now, references=False)
+    VersionedTable(spark, lake.path("bronze", "transactions")).compact()
+    assert process_entity(spark, lake, "transactions").accepted + process_entity(spark, lake, "transactions").accepted == 4
+    ids = {r.transaction_id for r in table(spark, lake, "silver", "transactions").collect()}
+    assert ids == {"T1", "T2", "T3", "N0", "N1"}
+
+
+def test_dimensions_do_not_pile_up(spark, lake, raw):
+    inputs = {"transactions": raw("t.csv", TX_CSV), "customers": raw("c.csv", CUSTOMER_CSV), "products": raw("p.csv", PRODUCT_CSV)}
+    for day in (1, 2, 3):
+        run_batch(spark, inputs, lake.base, as_of=dt.date(2024, 1, 10), now=T(2024, 2, day))
+    for layer, name in (("gold", "dim_customers"), ("gold", "dim_products"), ("silver", "transactions")):
+        t = VersionedTable(spark, lake.path(layer, name))
+        assert not t.has_pending_upserts()
+        assert t.commit_of(t.latest_version()).row_count == t.read().count() == 3
+
+
 def test_the_mark_does_not_move_back(spark, lake, raw):
     load(spark, lake, raw, now=T(2024, 2, 5), references=False)
     process_entity(spark, lake, "transactions")
@@ -236,12 +259,12 @@ SALES_DDL = ("transaction_id string, customer_id string, product_id string, tran
 @pytest.fixture
 def sold(spark):
     return spark.createDataFrame([
-        ("1", "C1", "P1", T(2024, 1, 1, 10), 100.0, 2, 0.0, 40.0, "COMPLETED"),
-        ("2", "C2", "P2", T(2024, 1, 1, 11), 200.0, 1, 10.0, 80.0, "COMPLETED"),
-        ("3", "C1", "P1", T(2024, 1, 2, 10), 150.0, 3, 0.0, 60.0, "COMPLETED"),
-        ("4", "C3", "P1", T(2024, 1, 2, 10), 999.0, 3, 0.0, 60.0, "PENDING"),
-        ("5", "C3", "P1", T(2024, 12, 30), 1.0, 1, 0.0, 0.0, "COMPLETED"),
-        ("6", "C3", "P1", T(2024, 1, 2, 10), 5.0, 1, 0.0, 0.0, None),
+        ("k1", "C1", "P1", T(2019, 1, 3, 9), 64.5, 3, 0.0, 22.5, "COMPLETED"),
+        ("k2", "C2", "P2", T(2019, 1, 3, 14), 131.0, 1, 4.0, 51.0, "COMPLETED"),
+        ("k3", "C1", "P1", T(2019, 1, 4, 9), 87.25, 2, 0.0, 30.0, "COMPLETED"),
+        ("k4", "C3", "P1", T(2019, 1, 4, 9), 412.0, 5, 0.0, 90.0, "PENDING"),
+        ("k5", "C3", "P1", T(2019, 12, 30), 2.5, 1, 0.0, 0.5, "COMPLETED"),
+        ("k6", "C3", "P1", T(2019, 1, 4, 9), 7.0, 1, 0.0, 1.0, None),
     ], SALES_DDL)
 
 
@@ -252,24 +275,24 @@ def by(df, *keys):
 def test_daily_sales(spark, sold):
     days = by(gold.daily_sales(sold), "sale_date")
     assert len(days) == 3
-    d = days[dt.date(2024, 1, 1)]
-    assert (d.transaction_count, d.total_revenue, d.unique_customers, d.unique_products) == (2, 300.0, 2, 2)
-    assert (d.max_transaction_value, d.min_transaction_value, d.avg_transaction_value) == (200.0, 100.0, 150.0)
-    assert (d.year, d.month, d.quarter, d.week_number) == (2024, 1, 1, 1)
+    d = days[dt.date(2019, 1, 3)]
+    assert (d.transaction_count, d.total_revenue, d.unique_customers, d.unique_products) == (2, 195.5, 2, 2)
+    assert (d.max_transaction_value, d.min_transaction_value, d.avg_transaction_value) == (131.0, 64.5, 97.75)
+    assert (d.year, d.month, d.quarter, d.week_number) == (2019, 1, 1, 1)
 
 
 def test_week_is_iso_and_year_is_calendar(sold):
     weeks = by(gold.weekly_sales(sold), "year", "week_number")
-    assert weeks[2024, 1].transaction_count == 4             # early January and 30 December
+    assert weeks[2019, 1].transaction_count == 4             # early January and 30 December
     months = by(gold.monthly_sales(sold), "year", "month", "quarter")
-    assert set(months) == {(2024, 1, 1), (2024, 12, 4)}
+    assert set(months) == {(2019, 1, 1), (2019, 12, 4)}
 
 
 def test_dimension_metrics(spark, sold):
     people = spark.createDataFrame([("C1", "A"), ("C9", "B")], "customer_id string, customer_name string")
     dim = by(gold.dim_customers(people, gold.customer_metrics(sold)), "customer_id")
-    assert dim["C1"].total_revenue == dim["C1"].customer_lifetime_value == 250.0
-    assert dim["C1"].first_transaction_date == T(2024, 1, 1, 10)
+    assert dim["C1"].total_revenue == dim["C1"].customer_lifetime_value == 151.75
+    assert dim["C1"].first_transaction_date == T(2019, 1, 3, 9)
     assert (dim["C9"].total_transactions, dim["C9"].total_revenue, dim["C9"].last_transaction_date) == (0, 0.0, None)
     bare = gold.dim_customers(people, None)
     assert "last_transaction_date" not in bare.columns and bare.first().total_transactions == 0
@@ -277,14 +300,14 @@ def test_dimension_metrics(spark, sold):
 
 def test_product_performance(spark):
     sold = spark.createDataFrame([
-        ("1", "C1", "P1", T(2024, 1, 1), 999.99, 1, 0.0, 399.99, "COMPLETED"),
-        ("2", "C2", "P1", T(2024, 1, 2), 999.99, 1, 0.0, 399.99, "COMPLETED"),
-        ("3", "C1", "P2", T(2024, 1, 3), 0.0, 2, 0.0, 15.99, "COMPLETED")], SALES_DDL)
+        ("k1", "C1", "P1", T(2019, 1, 3), 48.4, 1, 0.0, 27.25, "COMPLETED"),
+        ("k2", "C2", "P1", T(2019, 1, 9), 48.4, 3, 0.0, 21.75, "COMPLETED"),
+        ("k3", "C1", "P2", T(2019, 2, 3), 0.0, 2, 0.0, 3.5, "COMPLETED")], SALES_DDL)
     goods = spark.createDataFrame(
-        [("P1", "Lamp", "E", 999.99, 600.0)], "product_id string, product_name string, category string, price double, cost double")
+        [("P1", "Kettle", "K", 48.4, 21.15)], "product_id string, product_name string, category string, price double, cost double")
     perf = by(gold.product_performance(gold.product_metrics(sold), goods), "product_id")
-    assert perf["P1"].total_revenue == 1999.98 and perf["P1"].total_quantity_sold == 2
-    assert perf["P1"].profit_margin == 799.98 / 1999.98 * 100
+    assert perf["P1"].total_revenue == 96.8 and perf["P1"].total_quantity_sold == 4
+    assert perf["P1"].profit_margin == 49.0 / 96.8 * 100
     assert perf["P2"].profit_margin is None and perf["P2"].category is None
 
 
@@ -342,7 +365,7 @@ def test_totals_are_exact_for_cents_and_complete_for_the_rest(spark):
 
 def test_reports(spark, sold):
     top = gold.top_per_day(sold, "product_id", 1)
-    assert {(r.sale_date.day, r.product_id) for r in top.where("month(sale_date) = 1").collect()} == {(1, "P2"), (2, "P1")}
+    assert {(r.sale_date.day, r.product_id) for r in top.where("month(sale_date) = 1").collect()} == {(3, "P2"), (4, "P1")}
     perf = spark.createDataFrame([("A", 10.0, 4, 1.0), ("A", 5.0, 2, 1.0), (None, 1.0, 1, 1.0)],
                                  "category string, total_revenue double, total_quantity_sold bigint, total_profit double")
     stock = spark.createDataFrame([("A", 3), (None, 0)], "category string, stock_quantity int")
@@ -361,11 +384,11 @@ def test_whole_batch_and_upkeep(spark, lake, raw):
     assert {n for n in TABLES["gold"]} == {
         n for n in TABLES["gold"] if VersionedTable(spark, lake.path("gold", n)).exists()}
     daily = table(spark, lake, "gold", "daily_sales_summary")
-    assert daily.first().total_revenue == 165.0 and daily.first().year == 2024
+    assert daily.first().total_revenue == 107.0 and daily.first().year == 2023
     assert table(spark, lake, "gold", "dim_customers").count() == 3
-    assert table(spark, lake, "gold", "dim_dates").count() == 2
+    assert table(spark, lake, "gold", "dim_dates").count() == 4
     perf = table(spark, lake, "gold", "product_performance")
-    assert dict(perf.dtypes)["category"] == "string" and perf.where("category = 'ELECTRONICS'").count() == 2
+    assert dict(perf.dtypes)["category"] == "string" and perf.where("category = 'KITCHEN'").count() == 2
     # the same files again: new bronze rows, the same silver rows
     run_batch(spark, inputs, lake.base, as_of=dt.date(2024, 1, 10), now=T(2024, 2, 2))
     assert table(spark, lake, "silver", "transactions").count() == 3

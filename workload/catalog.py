@@ -20,7 +20,7 @@ from silverlode.plans import gold
 from silverlode.plans.batch import run_batch
 from silverlode.plans.bronze import with_event_time, with_lineage
 from silverlode.plans.silver import (
-    high_water_mark, newer_than, transform_customers, transform_products, transform_transactions,
+    high_water_mark, newer_than, process_entity, transform_customers, transform_products, transform_transactions,
 )
 from silverlode.plans.upkeep import layer_metrics
 from silverlode.session import shared_dir
@@ -138,6 +138,16 @@ def dq_duplicates(spark, sf):
         canon.transactions(spark, sf), ["transaction_id"], ties=canon.TIES)[1])
 
 
+@query
+def dq_duplicates_skewed(spark, sf):
+    """One key has a third of the rows, others have a few."""
+    rows = canon.transactions(spark, sf).withColumn("transaction_id", F.when(
+        F.col("shipping_address") == "R", F.lit("hot")).otherwise(F.col("customer_id")))
+    ties = [*canon.TIES, "transaction_date", "customer_id", "payment_method"]
+    return shown(split_duplicates(rows, ["transaction_id"], ties=ties)[0]).select(
+        "transaction_id", "ingestion_timestamp", "product_id", "quantity", "total_amount", "discount")
+
+
 @query
 def dq_range_valid(spark, sf):
     return shown(split_range(canon.flawed_transactions(spark, sf), "quantity", 1, 30)[0])
@@ -242,6 +252,36 @@ def high_water(spark, sf):
     return shown(high_water_mark([accepted, rejected]))
 
 
+@query
+def incremental_after_compaction(spark, sf):
+    """Three batches, the later two with an equal and an earlier clock, and a compaction of
+    bronze before silver looks at them: every id is judged once."""
+    layers = Layers(shared_dir(spark, "clocks"))
+    bronze = VersionedTable(spark, layers.path("bronze", "transactions"))
+    rows = canon.transactions(spark, sf)
+    third = F.pmod(F.crc32("transaction_id"), F.lit(3))
+    for batch, day in enumerate((2, 2, 1)):
+        bronze.append(with_event_time(rows.where(third == batch)).withColumn(
+            "ingestion_timestamp", F.lit(dt.datetime(2024, 2, day))))
+        if batch == 0:
+            process_entity(spark, layers, "transactions", now=NOW)
+    bronze.compact()
+    process_entity(spark, layers, "transactions", now=NOW)
+    silver_rows = VersionedTable(spark, layers.path("silver", "transactions")).read()
+    return silver_rows.select("transaction_id", "status")
+
+
+@query
+def full_refresh(spark, sf):
+    """A second, full run judges everything again and adds nothing."""
+    layers = Layers(shared_dir(spark, "full"))
+    goods = canon.products(spark, sf).withColumn("ingestion_timestamp", F.lit(NOW))
+    VersionedTable(spark, layers.path("bronze", "products")).append(goods)
+    process_entity(spark, layers, "products", now=NOW)
+    process_entity(spark, layers, "products", incremental=False, now=NOW)
+    return VersionedTable(spark, layers.path("silver", "products")).read().select("product_id", "product_name", "category", "price")
+
+
 @query
 def upsert_orders(spark, sf):
     orders = canon.table(spark, sf, "orders")
@@ -407,6 +447,16 @@ def version_diff(spark, sf):
     return compare(table.read(0), table.read(2), ["o_custkey"])
 
 
+@query
+def version_diff_repeated_keys(spark, sf):
+    """Keys that are missing or come several times on both sides."""
+    orders = canon.table(spark, sf, "orders").select(
+        F.when(F.col("o_custkey") % 5 != 0, F.col("o_custkey")).alias("k"), "o_orderkey", "o_totalprice", "o_orderdate", "o_custkey")
+    before = orders.where("o_orderdate < timestamp_ntz'1999-01-01'").drop("o_orderdate", "o_custkey")
+    after = orders.where("o_custkey % 3 <> 0").drop("o_orderdate", "o_custkey")
+    return compare(before, after, ["k"])
+
+
 @query
 def append_check(spark, sf):
     return check_append(order_log(spark, sf), 0, 2)
@@ -415,7 +465,7 @@ def append_check(spark, sf):
 @query
 def evolve_schema(spark, sf):
     table = order_log(spark, sf)
-    table.add_columns({"data_quality_score": 100, "is_verified": False, "o_custkey": 0})
+    table.add_columns({"review_round": 7, "is_archived": True, "o_custkey": 0})
     return table.read()
 
 
@@ -424,6 +474,15 @@ def change_feed(spark, sf):
     return last_orders(spark, sf).changes(after=0)
 
 
+@query
+def change_feed_restore(spark, sf):
+    """Appends, a compaction (which changes nothing) and a restore of the first version."""
+    table = order_log(spark, sf)
+    table.compact()
+    table.restore(0)
+    return table.changes(after=1).select("o_orderkey", "o_totalprice", "_version", "_change")
+
+
 @query
 def compact(spark, sf):
     table = order_log(spark, sf)
@@ -438,6 +497,21 @@ def zorder(spark, sf):
     return table.read()
 
 
+@query
+def zorder_text(spark, sf):
+    """Clustering on text whose values all begin alike: the rows, and in how many files a
+    key can lie by the files' ranges."""
+    table = VersionedTable(spark, shared_dir(spark, "text-ids"))
+    rows = canon.table(spark, sf, "orders").select(F.format_string("TXN_%010d", "o_orderkey").alias("id"), "o_totalprice")
+    table.append(rows)
+    table.compact(target_bytes=1 << 15, zorder_by=["id"])
+    files = table.read().groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    spans = files.agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("s"))      # one entry a file
+    alone = F.expr("forall(zip_with(slice(s, 1, size(s) - 1), slice(s, 2, size(s)), (x, y) -> x.high < y.low), x -> x)")
+    return table.read().agg(F.count(F.lit(1)).alias("row_count"), F.sum("o_totalprice").cast("decimal(20,2)").cast("string").alias("total")) \
+        .withColumn("one_file_per_key", F.lit(spans.select(alone.alias("x")).first().x))
+
+
 @query
 def expire_versions(spark, sf):
     """What can still be read after compaction and expiry, and how many rows it has."""
@@ -475,12 +549,23 @@ def stream_ingest(spark, sf):
         "source_file", "data_source", "ingestion_date"))
 
 
+@query
+def stream_malformed(spark, sf):
+    """Some messages arrive cut off: their text is kept, the others go on."""
+    where = shared_dir(spark, "stream-torn")
+    torn = _event_stream(spark, sf).withColumn(
+        "value", F.when(F.length("value") % 3 == 0, F.substring("value", 1, 30)).otherwise(F.col("value")))
+    _run(ingest_stream(torn, f"{where}/table", f"{where}/checkpoint", every=None, now=NOW, malformed_path=f"{where}/torn"))
+    good = VersionedTable(spark, f"{where}/table").read().select("transaction_id", F.lit(None).cast("string").alias("value_text"))
+    bad = VersionedTable(spark, f"{where}/torn").read().select(F.lit(None).cast("string").alias("transaction_id"), "value_text")
+    return good.unionByName(bad)
+
+
 def _totals(spark, sf, mode):
     where = shared_dir(spark, f"stream-{mode}")
     _run(windowed_stream(_event_stream(spark, sf), f"{where}/table", f"{where}/checkpoint",
                          window="1 hour", every=None, mode=mode))
-    return shown(VersionedTable(spark, f"{where}/table").read().drop("status_key").withColumn(
-        "total_revenue", F.round("total_revenue", 2)))
+    return shown(VersionedTable(spark, f"{where}/table").read().drop("status_key"))
 
 
 @query
@@ -521,6 +606,25 @@ def batch_run_daily_counts(spark, sf):
     return days.select("sale_date", "transaction_count", "unique_customers", "year", "month", "week_number")
 
 
+@query
+def dim_customers_two_runs(spark, sf):
+    """The written dimension after two runs: one row a customer, nothing pending."""
+    layers = Layers(shared_dir(spark, "dims"))
+    people = transform_customers(canon.customers(spark, sf), NOW)
+    metrics = gold.customer_metrics(silver(spark, sf))
+    for _ in range(2):
+        version = gold.write_gold(gold.dim_customers(people, metrics, NOW), layers, "dim_customers", NOW)
+    table = VersionedTable(spark, layers.path("gold", "dim_customers"))
+    return shown(table.read()).withColumn("rows_written", F.lit(table.commit_of(version).row_count).cast("bigint"))
+
+
+@query
+def batch_run_daily(spark, sf):
+    """The written day summary of a whole batch, amounts included: of copies that arrive together
+    the first by all columns in order survives."""
+    return shown(VersionedTable(spark, _batch(spark, sf).path("gold", "daily_sales_summary")).read())
+
+
 @query
 def batch_run_metrics(spark, sf):
     """Rows written per table by a whole batch."""

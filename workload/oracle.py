@@ -367,7 +367,7 @@ SQL["append_check"] = f"""WITH {ORDER_LOG}
 SELECT COUNT(*) FILTER (v = 0) AS rows_before, COUNT(*) FILTER (v > 0) AS rows_written,
        COUNT(*) AS rows_after, true AS consistent FROM olog"""
 SQL["evolve_schema"] = """
-SELECT *, CAST(100 AS INTEGER) AS data_quality_score, false AS is_verified FROM orders"""
+SELECT *, CAST(7 AS INTEGER) AS review_round, true AS is_archived FROM orders"""
 SQL["change_feed"] = f"""WITH {UPSERTS}
 SELECT o_custkey, o_orderkey, o_totalprice, o_orderdate, CAST(v AS BIGINT) AS _version, 'upsert' AS _change
 FROM ups WHERE v > 0"""
@@ -439,3 +439,42 @@ UNION ALL SELECT 'gold', 'product_performance', 'OVERWRITE', sold, -1, -1 FROM (
     SELECT product_id FROM tx JOIN done USING (transaction_id)
     QUALIFY row_number() OVER (PARTITION BY transaction_id
       ORDER BY product_id, transaction_date, quantity, unit_price, total_amount, discount) = 1))"""
+
+# -- repaired paths --------------------------------------------------------------
+
+SQL["dq_duplicates_skewed"] = f"""WITH {TX}, t AS (
+  SELECT * REPLACE (CASE WHEN shipping_address = 'R' THEN 'hot' ELSE customer_id END AS transaction_id), customer_id AS buyer FROM tx)
+SELECT transaction_id, ingestion_timestamp, product_id, quantity, total_amount, discount FROM t
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY ingestion_timestamp DESC NULLS LAST, product_id NULLS FIRST,
+  quantity NULLS FIRST, total_amount NULLS FIRST, discount NULLS FIRST, transaction_date, buyer, payment_method) = 1"""
+SQL["incremental_after_compaction"] = f"""WITH {TX}
+SELECT DISTINCT transaction_id, upper(trim(status)) AS status FROM tx WHERE final_amount >= 0 AND quantity >= 1"""
+SQL["full_refresh"] = """SELECT CAST(p_partkey AS VARCHAR) AS product_id, trim(p_name) AS product_name,
+  upper(trim(p_type)) AS category, round(p_retailprice, 2) AS price FROM part WHERE p_retailprice >= 0"""
+SQL["version_diff_repeated_keys"] = """WITH o AS (
+  SELECT CASE WHEN o_custkey % 5 <> 0 THEN o_custkey END AS k, o_orderkey, o_totalprice, o_orderdate, o_custkey FROM orders
+), r AS (
+  SELECT k, SUM(a) AS a, SUM(b) AS b, o_orderkey, o_totalprice FROM (
+    SELECT k, o_orderkey, o_totalprice, 1 AS a, 0 AS b FROM o WHERE o_orderdate < '1999-01-01'
+    UNION ALL SELECT k, o_orderkey, o_totalprice, 0, 1 FROM o WHERE o_custkey % 3 <> 0) GROUP BY k, o_orderkey, o_totalprice
+), g AS (
+  SELECT k, SUM(a) AS a, SUM(b) AS b, SUM(LEAST(a, b)) AS s FROM r GROUP BY k
+), c AS (SELECT *, LEAST(a - s, b - s) AS c FROM g)
+SELECT CAST(SUM(a) AS BIGINT) AS rows_before, CAST(SUM(b) AS BIGINT) AS rows_after, CAST(SUM(b - s - c) AS BIGINT) AS added,
+       CAST(SUM(a - s - c) AS BIGINT) AS removed, CAST(SUM(c) AS BIGINT) AS changed, CAST(SUM(s) AS BIGINT) AS unchanged FROM c"""
+SQL["change_feed_restore"] = """
+SELECT o_orderkey, o_totalprice, CAST(2 AS BIGINT) AS _version, 'append' AS _change FROM orders WHERE o_orderdate >= '1999-01-01'
+UNION ALL SELECT o_orderkey, o_totalprice, CAST(4 AS BIGINT), 'delete' FROM orders WHERE o_orderdate >= '1997-01-01'"""
+SQL["zorder_text"] = """SELECT COUNT(*) AS row_count, CAST(CAST(SUM(CAST(o_totalprice AS DECIMAL(20,2))) AS DECIMAL(20,2)) AS VARCHAR) AS total,
+  true AS one_file_per_key FROM orders"""
+SQL["dim_customers_two_runs"] = f"SELECT *, (SELECT COUNT(*) FROM customer) AS rows_written FROM ({SQL['dim_customers']})"
+SQL["batch_run_daily"] = f"""WITH {TX},
+kept AS (SELECT * FROM tx WHERE customer_id IN ({_SOLVENT}) QUALIFY row_number() OVER (PARTITION BY transaction_id
+  ORDER BY product_id, transaction_date, quantity, unit_price, total_amount, discount, final_amount, payment_method, status, shipping_address) = 1),
+silver AS ({SILVER_OF.format('kept')}),
+sales AS (SELECT * FROM silver WHERE status = 'COMPLETED')
+{DAILY}"""
+SQL["stream_malformed"] = f"""
+WITH m AS (SELECT event_id, {_VALUE} AS v FROM events)
+SELECT CASE WHEN length(v) % 3 <> 0 THEN CAST(event_id AS VARCHAR) END AS transaction_id,
+       CASE WHEN length(v) % 3 = 0 THEN substr(v, 1, 30) END AS value_text FROM m"""
