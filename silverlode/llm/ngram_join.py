@@ -12,8 +12,9 @@
    carries over from one set to the next, and a set is left as soon as what remains of
    it cannot reach the overlap it needs.
 5. A posting list of m similar sets is not expanded into m^2 pairs.  ``ROUNDS`` times each list
-   links its members to a leader, which settles groups of copies.  Then all pairs that still lie in
-   different components are verified, so no link that matters to a component is lost.
+   links its members to a leader, which settles groups of copies.  Lists that still hold several components
+   are joined exactly, in tiles: a probe walks the tree of a chunk past everything it is connected with
+   already, so no link that matters to a component is lost and pairs are never rows.
 
 Lists and probes are split over tasks by hash, whatever the size of a group; blocks of numbers
 are exchanged instead of rows; tables between steps lie in the shared folder.
@@ -41,6 +42,7 @@ SHINGLE = 5
 PERCENT = 75
 ROUNDS = 2
 PROBE_CHUNK = 2000
+TILE = 1000
 #: Shingle ids keep the upper 48 bits of the hash: two of one pair's shingles are confused with odds of |A||B| / 2^48.
 _ID = np.uint64(16)
 SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64())])
@@ -243,62 +245,133 @@ def _leaders(round_: int, percent: int):
     return run
 
 
-def _across(percent: int):
-    """All pairs of a list that lie in different components and can reach the threshold by size."""
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return PAIRS.empty_table()
-        h, cls, n, at = _sorted_lists(left)
-        node, root = right.column("node").to_numpy(), right.column("root").to_numpy()
-        order = np.argsort(node)
-        node, root = node[order], root[order]
-        comp = cls.copy()
-        if len(node):
-            i = np.minimum(np.searchsorted(node, cls), len(node) - 1)
-            comp = np.where(node[i] == cls, root[i], cls)
-        a, b, held = [], [], 0
-        for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
-            if j - i < 2 or (comp[i:j] == comp[i]).all():
+def _open_lists(left: pa.Table, right: pa.Table) -> pa.Table:
+    """(leader, member) for every list whose members lie in different components."""
+    if not left.num_rows:
+        return PAIRS.empty_table()
+    h, cls, n, at = _sorted_lists(left)
+    node, root = right.column("node").to_numpy(), right.column("root").to_numpy()
+    order = np.argsort(node)
+    node, root = node[order], root[order]
+    comp = cls
+    if len(node):
+        i = np.minimum(np.searchsorted(node, cls), len(node) - 1)
+        comp = np.where(node[i] == cls, root[i], cls)
+    k = np.diff(at)
+    mixed = np.repeat(np.minimum.reduceat(comp, at[:-1]) != np.maximum.reduceat(comp, at[:-1]), k)
+    lead = np.repeat(np.minimum.reduceat(cls, at[:-1]), k)
+    return _unique_pairs([lead[mixed]], [cls[mixed]])
+
+
+class Tree:
+    """Ordered sets in a prefix tree, stored as their sorted rows: rows with a common
+    beginning are neighbours, and ``shared`` is the depth at which a row leaves the path of the row before."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.order = sorted(range(len(sets)), key=lambda i: sets[i].tobytes())
+        self.sets = sets
+        self.shared, before = [], np.zeros(0, np.uint64)
+        for i in self.order:
+            k = min(len(sets[i]), len(before))
+            differs = np.flatnonzero(sets[i][:k] != before[:k])
+            self.shared.append(int(differs[0]) if len(differs) else k)
+            before = sets[i]
+
+    def linked(self, probe: np.ndarray, probe_n: int, sizes: list[int], percent: int = PERCENT, wanted=None):
+        """Yields the sets linked with the probe.  The overlap along a path is carried from row to row;
+        a row is left as soon as the rest of it cannot make up what is missing.  ``wanted(i)`` may turn rows down."""
+        inside = np.sort(probe)
+        run, depth_known = np.zeros(1, np.int64), 0
+        for i, shared in zip(self.order, self.shared):
+            # what of the path walked so far this row still shares
+            depth_known = min(depth_known, shared)
+            if wanted is not None and not wanted(i):
                 continue
-            c, s, g = cls[i:j], n[i:j], comp[i:j]
-            # sizes ascend: a set meets the larger ones up to its size over the threshold
-            end = np.searchsorted(s, 100 * s // percent, "right")
-            for x in range(j - i - 1):
-                y = np.flatnonzero(g[x + 1:end[x]] != g[x]) + x + 1
-                if len(y):
-                    a.append(np.full(len(y), c[x])), b.append(c[y])
-                    held += len(y)
-            if held > 4 << 20:                   # lists of one group repeat their pairs
-                t = _unique_pairs(a, b)
-                a, b, held = [t.column(0).to_numpy()], [t.column(1).to_numpy()], 0
+            s, want = self.sets[i], need(probe_n, sizes[i], percent)
+            depth, run = depth_known, run[:depth_known + 1]
+            while depth < len(s) and run[-1] + len(s) - depth >= want:
+                step = s[depth:depth + 64]
+                at = np.minimum(np.searchsorted(inside, step), len(inside) - 1)
+                run = np.concatenate((run, run[-1] + np.cumsum(inside[at] == step)))
+                depth += len(step)
+            depth_known = depth
+            if depth == len(s) and run[-1] >= want:
+                yield i
+
+
+def tree_overlaps(probe: np.ndarray, probe_n: int, sets: list[np.ndarray], sizes: list[int], percent: int = PERCENT) -> list[int]:
+    """Which of the ordered sets are linked with the probe."""
+    return list(Tree(sets).linked(probe, probe_n, sizes, percent))
+
+
+class _Roots:
+    """Union-find over the classes of one tile."""
+
+    def __init__(self, roots: list[int]):
+        self.up = {r: r for r in roots}
+        self.own = roots
+
+    def find(self, i: int) -> int:
+        r = self.own[i]
+        while self.up[r] != r:
+            self.up[r] = self.up[self.up[r]]
+            r = self.up[r]
+        return r
+
+    def join(self, i: int, j: int) -> None:
+        self.up[self.find(i)] = self.find(j)
+
+
+def _tile(percent: int):
+    """Links between the two sides of each tile that join different components: every probe walks
+    the tree of the other side, past the sets it is already connected with."""
+    def run(table: pa.Table) -> pa.Table:
+        a, b = [], []
+        if table.num_rows:
+            rows = table.to_pylist()
+            tiles: dict = {}
+            for r in rows:
+                tiles.setdefault((r["cluster"], r["i"], r["j"]), []).append(r)
+            for (_, i, j), some in tiles.items():
+                sets = [unpack(r["tokens"], np.uint64) for r in some]
+                sizes, roots = [r["n"] for r in some], _Roots([r["root"] for r in some])
+                if len({roots.find(k) for k in range(len(some))}) < 2:
+                    continue
+                sides = [[k for k, r in enumerate(some) if r["chunk"] == c] for c in (i, j)]
+                tree = Tree([sets[k] for k in sides[1]])
+                right_sizes = [sizes[k] for k in sides[1]]
+                for x in sides[0]:
+                    low, high = -(-percent * sizes[x] // 100), 100 * sizes[x] // percent
+
+                    def wanted(y, x=x, low=low, high=high):
+                        return low <= right_sizes[y] <= high and roots.find(x) != roots.find(sides[1][y])
+
+                    for y in tree.linked(sets[x], sizes[x], right_sizes, percent, wanted):
+                        k = sides[1][y]
+                        roots.join(x, k)
+                        a.append(np.array([some[x]["cls"]])), b.append(np.array([some[k]["cls"]]))
         return _unique_pairs(a, b)
     return run
 
 
-def tree_overlaps(probe: np.ndarray, probe_n: int, sets: list[np.ndarray], sizes: list[int], percent: int = PERCENT) -> list[int]:
-    """Which of the ordered sets are linked with the probe.
-
-    Sorted by content, sets with a common beginning are neighbours: the path they share in the
-    prefix tree is walked once, its overlap kept in ``run``."""
-    order = sorted(range(len(sets)), key=lambda i: sets[i].tobytes())
-    inside = np.sort(probe)
-    linked, before, run = [], np.zeros(0, np.uint64), np.zeros(1, np.int64)
-    for i in order:
-        s, want = sets[i], need(probe_n, sizes[i], percent)
-        k = min(len(s), len(before), len(run) - 1)
-        differs = np.flatnonzero(s[:k] != before[:k])
-        depth = int(differs[0]) if len(differs) else k
-        run = run[:depth + 1]
-        # walk on in strides while the rest of the set can still make up the overlap
-        while depth < len(s) and run[-1] + len(s) - depth >= want:
-            step = s[depth:depth + 64]
-            at = np.minimum(np.searchsorted(inside, step), len(inside) - 1)
-            run = np.concatenate((run, run[-1] + np.cumsum(inside[at] == step)))
-            depth += len(step)
-        if depth == len(s) and run[-1] >= want:
-            linked.append(i)
-        before = s
-    return linked
+def across(postings: DataFrame, members: DataFrame, roots: DataFrame, parts: int, percent: int) -> DataFrame:
+    """Links that join different components of ``roots``: all that are missing.
+
+    Lists that still hold several components form clusters.  A cluster's members are cut into
+    chunks of ``TILE`` or so, and each pair of chunks is a tile of its own, so that no task holds a cluster
+    whatever its size; candidate pairs are never rows."""
+    at = postings.mapInArrow(_who, "part long, node long").distinct().join(roots, "node").select("part", "node", "root")
+    open_, _ = written(postings.groupBy("part").cogroup(at.groupBy("part")).applyInArrow(_open_lists, "a long, b long").distinct(), "open")
+    clusters = connected(open_).select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
+    count = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
+    held = clusters.join(count, "cluster").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left") \
+        .select("cls", "cluster", "chunks", F.coalesce("root", "cls").alias("root"),
+                F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int").alias("chunk"))
+    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
+        .withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
+    tiles = held.withColumn("slot", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(8 * parts)))
+    full = tiles.join(members, "cls").select("slot", "cluster", "i", "j", "chunk", "cls", "root", "n", "tokens")
+    return full.groupBy("slot").applyInArrow(_tile(percent), "a long, b long")
 
 
 def _verify(percent: int):
@@ -359,12 +432,7 @@ def class_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         found = got if found is None else found.unionByName(got)
         release(spark)
     roots = connected(found)
-    # every class meets its root where its postings are
-    at = postings.mapInArrow(_who, "part long, node long").distinct().join(roots, "node").select("part", "node", "root")
-    cross, _ = written(postings.groupBy("part").cogroup(at.groupBy("part")).applyInArrow(_across(percent), "a long, b long").distinct(), "pairs")
-    if cross.isEmpty():
-        return roots
-    rest, _ = written(verified(cross, members, parts, percent), "found")
+    rest, _ = written(across(postings, members, roots, parts, percent), "found")
     return connected(rest.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).filter("a <> b")))
 
 
