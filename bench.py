@@ -25,6 +25,7 @@ HEADLINE = [
     "category_report", "top_products_per_day",
     "version_as_of", "version_diff", "restore", "compact", "zorder",
     "json_parse", "stream_ingest", "stream_window_append", "stream_window_update",
+    "change_feed_restore", "incremental_after_compaction", "batch_run_daily",
 ]
 
 

@@ -50,7 +50,18 @@ def customer_metrics(transactions: DataFrame) -> DataFrame:
     )
 
 
-def product_metrics(transactions: DataFrame) -> DataFrame:
+# What the summaries and metrics read of a transaction.
+SALES_COLUMNS = ["transaction_id", "customer_id", "product_id", "transaction_timestamp", "final_amount", "quantity",
+                 "discount", "profit", "status"]
+
+
+def distinct_count(column: str, approximate: bool = False) -> Column:
+    """Exact by default; the approximate count (2 % relative error) is a sketch that
+    combines map-side, without a shuffle of distinct values."""
+    return F.approx_count_distinct(column, 0.02) if approximate else F.count_distinct(column)
+
+
+def product_metrics(transactions: DataFrame, approximate: bool = False) -> DataFrame:
     """A hot product is aggregated map-side; its buyers are first made distinct on
     (product, customer), which spreads them over all tasks."""
     return sales(transactions).groupBy("product_id").agg(
@@ -58,7 +69,7 @@ def product_metrics(transactions: DataFrame) -> DataFrame:
         F.sum("quantity").alias("total_quantity_sold"),
         exact_sum("profit").alias("total_profit"),
         F.count("transaction_id").alias("total_transactions"),
-        F.count_distinct("customer_id").alias("unique_customers"),
+        distinct_count("customer_id", approximate).alias("unique_customers"),
         exact_avg("final_amount").alias("avg_sale_price"),
         F.max("transaction_timestamp").alias("last_sale_date"),
         F.min("transaction_timestamp").alias("first_sale_date"),
@@ -131,7 +142,9 @@ def day_bounds(transactions: DataFrame) -> DataFrame:
 
 # -- sales summaries -----------------------------------------------------------
 
-def _summary(transactions: DataFrame, period: dict[str, Column], extra: dict[str, Column]) -> DataFrame:
+def _summary(
+    transactions: DataFrame, period: dict[str, Column], extra: dict[str, Column], approximate: bool = False,
+) -> DataFrame:
     """Sales per period.
 
     The two exact distinct counts share one scan: Spark expands the rows, makes
@@ -141,8 +154,8 @@ def _summary(transactions: DataFrame, period: dict[str, Column], extra: dict[str
     dated = sales(transactions).withColumn("sale_date", F.to_date("transaction_timestamp"))
     metrics = {
         "transaction_count": F.count("transaction_id"),
-        "unique_customers": F.count_distinct("customer_id"),
-        "unique_products": F.count_distinct("product_id"),
+        "unique_customers": distinct_count("customer_id", approximate),
+        "unique_products": distinct_count("product_id", approximate),
         "total_revenue": exact_sum("final_amount"),
         "total_quantity_sold": F.sum("quantity"),
         "avg_transaction_value": exact_avg("final_amount"),
@@ -153,31 +166,37 @@ def _summary(transactions: DataFrame, period: dict[str, Column], extra: dict[str
         *[c.alias(n) for n, c in metrics.items()])
 
 
-def daily_sales(transactions: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+def daily_sales(
+    transactions: DataFrame, now: dt.datetime | None = None, approximate: bool = False,
+) -> DataFrame:
     day = F.col("sale_date")
     out = _summary(transactions, {"sale_date": day}, {
         "total_discount": exact_sum("discount"),
         "max_transaction_value": F.max("final_amount"),
         "min_transaction_value": F.min("final_amount"),
-    })
+    }, approximate)
     return stamped(out.withColumns({
         "year": F.year(day), "month": F.month(day),
         "quarter": F.quarter(day), "week_number": F.weekofyear(day),
     }), now)
 
 
-def weekly_sales(transactions: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+def weekly_sales(
+    transactions: DataFrame, now: dt.datetime | None = None, approximate: bool = False,
+) -> DataFrame:
     """By calendar year and ISO week, as the two columns say: the last days of
     December may be week 1 of their own calendar year."""
     day = F.col("sale_date")
     return stamped(_summary(
-        transactions, {"year": F.year(day), "week_number": F.weekofyear(day)}, {}), now)
+        transactions, {"year": F.year(day), "week_number": F.weekofyear(day)}, {}, approximate), now)
 
 
-def monthly_sales(transactions: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+def monthly_sales(
+    transactions: DataFrame, now: dt.datetime | None = None, approximate: bool = False,
+) -> DataFrame:
     day = F.col("sale_date")
     return stamped(_summary(
-        transactions, {"year": F.year(day), "month": F.month(day), "quarter": F.quarter(day)}, {}), now)
+        transactions, {"year": F.year(day), "month": F.month(day), "quarter": F.quarter(day)}, {}, approximate), now)
 
 
 # -- customer segments ---------------------------------------------------------
@@ -336,17 +355,19 @@ def build_gold(
             "dim_dates")
     else:
         put(dim_dates(day_bounds(transactions)), "dim_dates")
-        put(daily_sales(transactions, now), "daily_sales_summary")
-        put(weekly_sales(transactions, now), "weekly_sales_summary")
-        put(monthly_sales(transactions, now), "monthly_sales_summary")
-        if customers is not None:
-            with Stage(customer_metrics(transactions), "customer-metrics") as stage:
-                put(dim_customers(customers, stage.read(), now), "dim_customers")
-                put(customer_segments(stage.read(), customers, as_of, now), "customer_segments")
-        if products is not None:
-            with Stage(product_metrics(transactions), "product-metrics") as stage:
-                put(dim_products(products, stage.read(), now), "dim_products")
-                put(product_performance(stage.read(), products, now), "product_performance")
+        # completed sales, their own columns only, once: all that follows reads these
+        with Stage(sales(transactions).select(*SALES_COLUMNS), "sales") as staged:
+            put(daily_sales(staged.read(), now), "daily_sales_summary")
+            put(weekly_sales(staged.read(), now), "weekly_sales_summary")
+            put(monthly_sales(staged.read(), now), "monthly_sales_summary")
+            if customers is not None:
+                with Stage(customer_metrics(staged.read()), "customer-metrics") as stage:
+                    put(dim_customers(customers, stage.read(), now), "dim_customers")
+                    put(customer_segments(stage.read(), customers, as_of, now), "customer_segments")
+            if products is not None:
+                with Stage(product_metrics(staged.read()), "product-metrics") as stage:
+                    put(dim_products(products, stage.read(), now), "dim_products")
+                    put(product_performance(stage.read(), products, now), "product_performance")
     if optimize:
         from silverlode.plans.upkeep import compact_tables
         compact_tables(spark, layers, {"gold": TABLES["gold"]}, now=now)

@@ -281,6 +281,11 @@ def test_daily_sales(spark, sold):
     assert (d.year, d.month, d.quarter, d.week_number) == (2019, 1, 1, 1)
 
 
+def test_approximate_distinct_counts(spark, sold):
+    exact, near = gold.daily_sales(sold), gold.daily_sales(sold, approximate=True)
+    assert exact.drop(gold.STAMP).exceptAll(near.drop(gold.STAMP)).count() == 0      # few values: the sketch is exact
+
+
 def test_week_is_iso_and_year_is_calendar(sold):
     weeks = by(gold.weekly_sales(sold), "year", "week_number")
     assert weeks[2019, 1].transaction_count == 4             # early January and 30 December
