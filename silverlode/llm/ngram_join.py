@@ -40,7 +40,7 @@ from silverlode.llm.shared import keyed_text, release, text_bytes, written
 
 SHINGLE = 5
 PERCENT = 75
-ROUNDS = 2
+ROUNDS = 1
 PROBE_CHUNK = 2000
 TILE = 1000
 #: Shingle ids keep the upper 48 bits of the hash: two of one pair's shingles are confused with odds of |A||B| / 2^48.
