@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from silverlode.llm.arrays import LOWER, SPACED, Texts, mix, sequence_hash, sliced, texts_of, windows_of, word_hashes, words_of
@@ -359,15 +360,29 @@ def across(postings: DataFrame, members: DataFrame, roots: DataFrame, parts: int
 
     Lists that still hold several components form clusters.  A cluster's members are cut into
     chunks of ``TILE`` or so, and each pair of chunks is a tile of its own, so that no task holds a cluster
-    whatever its size; candidate pairs are never rows."""
+    whatever its size; candidate pairs are never rows.  Chunks of one large component have no
+    tile together: a group of near copies costs its members times the few that are not connected with it."""
     at = postings.mapInArrow(_who, "part long, node long").distinct().join(roots, "node").select("part", "node", "root")
     open_, _ = written(postings.groupBy("part").cogroup(at.groupBy("part")).applyInArrow(_open_lists, "a long, b long").distinct(), "open")
     clusters = connected(open_).select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
-    count = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / TILE).cast("int").alias("chunks"))
-    held = clusters.join(count, "cluster").join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left") \
-        .select("cls", "cluster", "chunks", F.coalesce("root", "cls").alias("root"),
-                F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int").alias("chunk"))
-    held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))) \
+    own = clusters.join(roots.select(F.col("node").alias("cls"), "root"), "cls", "left") \
+        .select("cls", "cluster", F.coalesce("root", "cls").alias("root"))
+    # a component of TILE members or more has chunks of its own, which need no tile with each other; the rest
+    # of a cluster shares chunks.  So a large component meets only what is not in it.
+    sizes = own.groupBy("cluster", "root").agg(F.count("*").alias("n"))
+    large = F.when(F.col("n") >= TILE, F.col("root"))
+    groups = sizes.groupBy("cluster", large.alias("big")).agg(F.ceil(F.sum("n") / TILE).cast("int").alias("chunks"))
+    order = W.partitionBy("cluster").orderBy("big")             # one row a large component
+    groups = groups.select("*", (F.sum("chunks").over(order.rowsBetween(W.unboundedPreceding, 0)) - F.col("chunks")).alias("at"),
+                           F.sum("chunks").over(W.partitionBy("cluster")).alias("total"))
+    held = own.join(sizes.select("cluster", "root", large.alias("big")), ["cluster", "root"]) \
+        .join(groups.withColumnsRenamed({"cluster": "_c", "big": "_b"}), (F.col("cluster") == F.col("_c")) & F.col("big").eqNullSafe(F.col("_b"))) \
+        .select("cls", "cluster", "root", "big", "at", "chunks", "total",
+                (F.col("at") + F.pmod(F.xxhash64("cls"), F.col("chunks"))).cast("int").alias("chunk"))
+    every = F.sequence(F.lit(0), F.col("total").cast("int") - 1)
+    others = F.when(F.col("big").isNull(), every).otherwise(
+        F.filter(every, lambda c: (c < F.col("at")) | (c >= F.col("at") + F.col("chunks"))))
+    held = held.withColumn("other", F.explode(others)) \
         .withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
     tiles = held.withColumn("slot", F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(8 * parts)))
     full = tiles.join(members, "cls").select("slot", "cluster", "i", "j", "chunk", "cls", "root", "n", "tokens")
