@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from silverlode.llm.arrays import LOWER, SPACED, Texts, mix, sequence_hash, sliced, texts_of, windows_of, word_hashes, words_of
 from silverlode.llm.components import connected
-from silverlode.llm.exchange import DEAL_BYTES, batch, bucket_of, cuts, dealt, joined, pack, part_of, parts_for, unpack
+from silverlode.llm.exchange import DEAL_BYTES, PART_BYTES, batch, bucket_of, cuts, dealt, joined, pack, part_of, parts_for, unpack
 from silverlode.llm.shared import keyed_text, release, text_bytes, written
 
 SHINGLE = 5
@@ -44,6 +44,8 @@ PERCENT = 75
 ROUNDS = 1
 PROBE_CHUNK = 2000
 TILE = 1000
+#: Text bytes behind one part.  A block names its classes once, so fewer parts move fewer names.
+SET_BYTES = 2 * PART_BYTES
 #: Shingle ids keep the upper 48 bits of the hash: two of one pair's shingles are confused with odds of |A||B| / 2^48.
 _ID = np.uint64(16)
 SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64())])
@@ -433,7 +435,7 @@ def class_links(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     a frame of (node, root) over all linked classes."""
     spark = docs.sparkSession
     docs = keyed_text(docs).filter("doc_id is not null and text is not null")
-    parts = parts_for(text_bytes(docs))
+    parts = parts_for(text_bytes(docs), SET_BYTES)
     sent = docs.mapInArrow(_send(parts, size), BLOCK_SQL)
     counted = sent.groupBy("part").applyInArrow(_count(parts), BLOCK_SQL)
     members, _ = written(counted.groupBy("part").applyInArrow(_assemble(percent), "cls long, n long, tokens binary"), "members")
