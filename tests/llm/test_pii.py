@@ -67,6 +67,33 @@ def test_added_kinds(tricky):
     assert [s for s in got[8] if s[0] == "ssn"] == [("ssn", 8, 19)]   # the context of the second is " or "
 
 
+def test_iban_before_upper_case_words_and_numbers(spark):
+    german, british = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    solid = german.replace(" ", "")
+    # a code of no known length
+    other = next((f"XX{c:02} 1234 5678 901 EUR", [f"XX{c:02} 1234 5678 901"]) for c in range(2, 99) if int(f"123456789013333{c:02}") % 97 == 1)
+    cases = [
+        (f"{german} BIC COBADEFF", [german]), (f"{solid} EUR 100 due", [solid]), (f"{solid} 42 Euro", [solid]),
+        (f"{british} {german} {solid} {british}", [british, german, solid, british]), (f"IBAN {german} A1 B2 C3 D4 E5 F6", [german]),
+        (f"AB12 {german}", [german]), (f"{german[:-1]}1 BIC X", []), (f"{solid}EUR {solid}", [solid]), (f"x{solid} 1", []),
+        other, (f"{solid} " * 600, [solid] * 600),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "iban"] for r in find_pii(df).collect()}
+    for i, (text, want) in enumerate(cases):
+        assert [text[a:b] for a, b in got[i]] == want, text[:100]
+    masked = {r.doc_id: r.text for r in redact(df).collect()}
+    assert masked[0] == "[iban] BIC COBADEFF" and masked[3] == "[iban] [iban] [iban] [iban]"
+
+
+def test_ssn_lists_share_their_context(spark):
+    a, b, c = "123-45-6789", "234-56-7891", "345-67-8912"
+    texts = [f"SSN: {a}, {b}, {c}", f"{a}, {b}", f"ssn {a}, {b} or {c}", "tax id: " + f"{a}; " * 600]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "ssn"] for r in find_pii(df).collect()}
+    assert got == {0: [a, b, c], 1: [], 2: [a, b], 3: [a] * 600}
+
+
 def test_redaction(spark, tricky, odd_docs, empty):
     out = {r.doc_id: r.text for r in redact(tricky).collect()}
     assert out[17] == "[email]\n[email]\r\n[phone]\n8" and out[15] is None and out[16] == ""
