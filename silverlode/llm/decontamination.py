@@ -13,9 +13,11 @@ its own, so what a task holds does not grow with the benchmark.  With several
 blocks only documents with hits meet again, in one aggregate by document.
 
 Cases: a null or wordless text has no words and no hits; a null or wordless item
-has no window; a short item is one window; items with equal text are all
-reported; documents with equal or null ids are separate rows; an empty benchmark
-leaves all documents clean.  Columns other than ids and texts are not read.
+text has no window; a short item is one window; items with equal text are all
+reported; items without an id count like any other, and in the list of ids all of them
+are one null, which ``n_items`` counts and ``items_sha256`` leaves out, as the SQL does;
+documents with equal or null ids are separate rows; an empty benchmark leaves all documents
+clean.  Columns other than ids and texts are not read.
 """
 
 from __future__ import annotations
@@ -159,6 +161,11 @@ def match_shard(block: TestBlock, h: np.ndarray, first: np.ndarray):
     return hit, np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64), longest
 
 
+def _ids(items: list) -> list:
+    """Distinct ids in order, null last."""
+    return sorted({x for x in items if x is not None}) + [None] * (None in items)
+
+
 def _matcher(block_value, only_hits: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = block_value.value
@@ -177,7 +184,7 @@ def _matcher(block_value, only_hits: bool):
                 s, e = runs_of(hit[words.first[d]:words.first[d + 1]])
                 l, a, i = longest[d]
                 rows.append((doc_id, n, [{"first": x, "last": y} for x, y in zip(s.tolist(), e.tolist())],
-                             sorted(block.items[mine].tolist()), l, a, block.items[i]))
+                             _ids(block.items[mine].tolist()), l, a, block.items[i]))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), ARROW)], NAMES)
     return run
@@ -191,11 +198,11 @@ ARROW = [pa.int64(), pa.int64(), pa.list_(pa.struct([("first", pa.int64()), ("la
 def _blocks(spark: SparkSession, benchmark: DataFrame, window: int, block_words: int):
     """Broadcasts of the items in blocks: each is read by its own filter, of bounded size."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")) \
-        .filter("text is not null and item_id is not null")
+        .filter("text is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-int(total) // (block_words * 6)))         # about six bytes a word
     for b in range(n):
-        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b)
+        part = items if n == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b)
         rows = part.collect()                               # one block of the stated query set
         block = TestBlock([r[0] for r in rows], pa.array([r[1] for r in rows], pa.large_string()), window)
         yield spark.sparkContext.broadcast(block)
@@ -203,7 +210,7 @@ def _blocks(spark: SparkSession, benchmark: DataFrame, window: int, block_words:
 
 def find_overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document: word count, hit word ranges [first, last), ids of items with
-    a window in it, and its longest verbatim match (words, place, item)."""
+    a window in it (null for those without an id), and its longest verbatim match (words, place, item)."""
     spark = docs.sparkSession
     docs = keyed_text(docs)
     found = [docs.mapInArrow(_matcher(b, False), COLUMNS) for b in _blocks(spark, benchmark, window, block_words)]

@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from silverlode.llm.decontamination import contamination, drop_contaminated, find_overlaps
@@ -67,3 +68,28 @@ def test_longest_match_and_removal(spark, odd_docs, empty):
     assert contamination(odd_docs, none).filter("contaminated").count() == 0
     assert drop_contaminated(odd_docs, none).columns == odd_docs.columns
     assert contamination(odd_docs, none).filter(F.col("doc_id").isNull()).count() == 1
+
+
+def test_items_without_an_id(spark):
+    items = spark.createDataFrame([(None, "a b c d e f g h i j k"), (None, "p q"), (3, "x y z"), (3, "y z x"), (None, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "A b c d e f g h i j"), (2, "p q, x y z, y z x a b c d e f g h i j k"), (3, "x y z"), (4, "p")], "doc_id long, text string")
+    sha = [hashlib.sha256(x).hexdigest() for x in (b"", b"3")]
+    want = [(1, 10, 10, 1, sha[0], True), (2, 19, 19, 2, sha[1], True), (3, 3, 3, 1, sha[1], True), (4, 1, 0, 0, sha[0], False)]
+    for words_of_block in (10**6, 1):
+        assert rows(contamination(docs, items, block_words=words_of_block)) == want
+        assert [r.doc_id for r in drop_contaminated(docs, items, block_words=words_of_block).collect()] == [4]
+        got = {r.doc_id: (r.longest, r["items"]) for r in find_overlaps(docs, items, block_words=words_of_block).collect()}
+        assert got == {1: (10, [None]), 2: (11, ["3", None]), 3: (3, ["3"]), 4: (0, [])}
+
+
+def test_items_without_an_id_as_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    from silverlode.llm.queries import SQL
+    items = [(None, "a b c d e f g h i j k"), (None, "p q"), (3, "x y z")]
+    docs = [(1, "A b c d e f g h i j"), (2, "p q, x y z"), (3, "x y z"), (4, "p")]
+    con = duckdb.connect()
+    for name, key, rows_ in (("benchmark", "item_id", items), ("documents", "doc_id", docs)):
+        con.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        con.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows_)
+    want = sorted(con.execute(SQL["op2_decontaminate"]).fetchall(), key=repr)
+    assert rows(contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))) == want
