@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from silverlode.llm import (
-    bpe, debruijn, decontamination, grading, language, ngram_join, pii, quality_rules, suffix_dedup, token_counts,
+    bpe, corpus_queries, debruijn, decontamination, grading, language, ngram_join, pii, quality_rules, suffix_dedup,
+    token_counts,
 )
 from silverlode.llm.shared import table
 
@@ -182,3 +183,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
 @query
 def op6_suffix_dedup(spark, sf):
     return suffix_dedup.digest(table(spark, sf, "documents"))
+
+
+QUERIES |= corpus_queries.QUERIES
+SQL |= corpus_queries.SQL
