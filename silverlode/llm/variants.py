@@ -7,8 +7,9 @@ vectors at distance two or less differ in two parts at most, so they agree in al
 signatures that leave out two parts each, enumerated over all pairs of parts, they share one.  Signatures are
 equi-joined, and the candidates verified by the edit distance itself.
 
-The parts that a pair really differs in tell which of the signatures it shares is the first; the pair is
-kept there alone, so candidates need no distinct.
+Which parts' hashes a pair differs in tells which of the signatures it shares is the first; the pair is
+kept there alone, so it is verified once and needs no distinct.  (Equal letters have equal hashes; letters that
+differ and hash alike only make a signature wider.)
 
 Groups of many words with one signature are split exactly: one edit in words of ``MIN_LENGTH`` code points leaves the
 first or the last ``ANCHOR`` of them alone, so every signature comes twice, with the word's beginning and with
@@ -37,7 +38,9 @@ MIN_LENGTH, MIN_COUNT = 6, 5
 RATIO = 5
 #: Every DAMAGE-th run by its hash loses a letter.
 DAMAGE = 199
-PARTS, DISTANCE = 7, 2
+PARTS, DISTANCE = 5, 2
+#: Bits of hash for the letters of a part.
+CELL = 12
 ANCHOR = (MIN_LENGTH - 1) // 2 + (MIN_LENGTH - 1) % 2
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -51,38 +54,42 @@ def vocabulary(docs: DataFrame, damage: int = DAMAGE, min_length: int = MIN_LENG
                        F.explode(F.regexp_extract_all(text, F.lit(f"[a-zÀ-ÿ]{{{min_length},}}+"), F.lit(0))).alias("run"))
     runs = runs.withColumn("h", F.crc32(F.concat_ws(":", "id", "run").cast("binary")))
     at = F.pmod("h", F.length("run")).cast("int")
-    word = F.when(F.col("h") % damage == 0, F.concat(F.substring("run", F.lit(1), at), F.expr(f"substring(run, int(pmod(h, length(run))) + 2)"))).otherwise(F.col("run"))
+    word = F.when(F.col("h") % damage == 0, F.concat(F.substring("run", F.lit(1), at), F.expr("substring(run, int(pmod(h, length(run))) + 2)"))).otherwise(F.col("run"))
     return runs.select(word.alias("word")).filter(F.length("word") >= min_length).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= min_count)
 
 
-def signed(words: DataFrame, parts: int = PARTS, distance: int = DISTANCE) -> DataFrame:
-    """word, n, cells (a number for the letters of each part), sig, dropped, side: all signatures of all words."""
-    letters = "array_sort(split(word, ''))"
-    cells = f"transform(sequence(0, {parts - 1}), p -> array_join(filter(l, x -> ascii(x) % {parts} = p), ''))"
-    df = words.select("word", "n", F.expr(letters).alias("l")).select("word", "n", F.expr(cells).alias("cells"))
-    drops = ", ".join("named_struct('a', %d, 'b', %d)" % d for d in combinations(range(parts), distance))
-    sides = f"array(named_struct('side', 0, 'end', left(word, {ANCHOR})), named_struct('side', 1, 'end', right(word, {ANCHOR})))"
-    df = df.select("word", "n", "cells", F.expr(f"explode({sides})").alias("s"))
-    df = df.select("word", "n", "cells", "s.side", "s.end", F.expr(f"explode(array({drops}))").alias("d"))
-    kept = "concat_ws('\x01', transform(cells, (x, i) -> IF(i = d.a OR i = d.b, '', x)))"
-    return df.select("word", "n", "cells", "side", "d", F.expr(f"xxhash64(side, end, d.a, d.b, {kept})").alias("sig"))
+# which parts differ (a set of bits) -> the number of the first pair of parts that covers them; -1 if none does
+_PAIRS = list(combinations(range(PARTS), DISTANCE))
+_FIRST = [next((i for i, pair in enumerate(_PAIRS) if all(p in pair for p in range(PARTS) if bits >> p & 1)), -1) for bits in range(1 << PARTS)]
 
 
-def near_pairs(words: DataFrame, parts: int = PARTS) -> DataFrame:
+def signed(words: DataFrame) -> DataFrame:
+    """word, n, cells, sig: all signatures of all words.
+
+    ``cells`` packs ``CELL`` bits of hash for the letters of each part; a signature hashes the cells without those of two
+    parts, and the word's beginning or end.  Its lowest bits say which: the number of the pair, and 1 for the end."""
+    cell = f"transform(sequence(0, {PARTS - 1}), p -> shiftleft(xxhash64(array_join(filter(l, x -> ascii(x) % {PARTS} = p), '')) & {(1 << CELL) - 1}L, {CELL} * p))"
+    df = words.select("word", "n", F.expr("array_sort(split(word, ''))").alias("l")).select(
+        "word", "n", F.expr(f"aggregate({cell}, 0L, (a, x) -> a | x)").alias("cells"))
+    marks = [(2 * i + end, sum(((1 << CELL) - 1) << CELL * p for p in range(PARTS) if p not in pair)) for i, pair in enumerate(_PAIRS) for end in (0, 1)]
+    choices = ", ".join(f"named_struct('m', {m}, 'kept', {kept}L)" for m, kept in marks)
+    df = df.select("word", "n", "cells", F.expr(f"explode(array({choices}))").alias("s"))
+    end = f"IF(s.m % 2 = 0, left(word, {ANCHOR}), right(word, {ANCHOR}))"
+    return df.select("word", "n", "cells", F.expr(f"shiftleft(xxhash64(cells & s.kept, s.m, {end}), 6) | s.m").alias("sig"))
+
+
+def near_pairs(words: DataFrame) -> DataFrame:
     """word, n, other, other_n: both directions of every pair of words one edit apart."""
-    if DISTANCE != 2:
-        raise ValueError("signatures are enumerated over pairs of parts")
-    a = signed(words, parts)
+    a = signed(words)
     b = a.select("sig", F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("cells").alias("other_cells"))
-    found = a.join(b, "sig").filter("word < other AND abs(length(word) - length(other)) <= 1")
-    # the first pair of parts that covers the differing ones, and the beginning where both ends agree
-    differ = f"filter(sequence(0, {parts - 1}), p -> get(cells, p) <> get(other_cells, p))"
-    found = found.withColumn("m", F.expr(differ)).filter(F.expr(
-        "CASE size(m) WHEN 2 THEN d.a = m[0] AND d.b = m[1] WHEN 1 THEN (CASE WHEN m[0] = 0 THEN d.a = 0 AND d.b = 1 ELSE d.a = 0 AND d.b = m[0] END) "
-        "WHEN 0 THEN d.a = 0 AND d.b = 1 ELSE false END "
-        f"AND side = IF(left(word, {ANCHOR}) = left(other, {ANCHOR}), 0, 1)"))
-    found = found.filter("levenshtein(word, other, 1) = 1").select("word", "n", "other", "other_n")
-    return found.unionByName(found.select(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n")))
+    bits = " + ".join(f"IF(cells & {((1 << CELL) - 1) << CELL * p}L = other_cells & {((1 << CELL) - 1) << CELL * p}L, 0, {1 << p})" for p in range(PARTS))
+    first = f"get(array({', '.join(map(str, _FIRST))}), {bits})"
+    found = a.join(b, "sig").filter(
+        f"word < other AND abs(length(word) - length(other)) <= 1 AND sig & 63 = 2 * {first} + IF(left(word, {ANCHOR}) = left(other, {ANCHOR}), 0, 1) "
+        "AND levenshtein(word, other, 1) = 1")
+    both = ("array(named_struct('word', word, 'n', n, 'other', other, 'other_n', other_n), "
+            "named_struct('word', other, 'n', other_n, 'other', word, 'other_n', n))")
+    return found.select(F.explode(F.expr(both)).alias("p")).select("p.*")
 
 
 def roots(forms: DataFrame) -> tuple[DataFrame, list[str]]:
