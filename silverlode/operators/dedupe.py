@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,28 +36,43 @@ def rank_within_key(
     over all tasks whatever their key is.  Keys are compared the way a window does
     (NULL is one key).
 
-    Every key is ranked twice: inside each input partition first, then the partition
+    How often a key comes and its newest time are a map-side aggregate: one narrow shuffle, in which a
+    key is one row a task however large it is.  Only keys that come several times go on, and one
+    join tags the rows that are older than their key's newest; adaptive execution broadcasts these keys if
+    their measured size allows, and splits a hot key otherwise.  Whole rows are shuffled
+    only where several share a key and its newest time: these alone are ranked by the other columns.
+    """
+    live = F.lit(True) if alive is None else F.coalesce(alive, F.lit(False))
+    repeated = (
+        df.where(live).groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        .agg(F.count(F.lit(1)).alias("_n"), F.max(newest_by).alias("_newest")).where("_n > 1")
+    )
+    same_key = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], live)
+    tagged = df.join(repeated, same_key, "left")
+    # no equality: the join's keys, and so its shuffle, stay the same for both branches
+    older = F.coalesce(F.col(newest_by) < F.col("_newest"), F.col("_newest").isNotNull())
+    contender = F.col("_n").isNotNull() & ~older
+    others = tagged.where(~contender).select(*df.columns, F.when(F.col("_n").isNull() & live, 1).otherwise(2).alias(RANK))
+    return others.unionByName(_rank_in_lanes(tagged.where(contender).select(*df.columns), keys, newest_by, ties))
+
+
+def _rank_in_lanes(df: DataFrame, keys: list[str], newest_by: str, ties: list[str] | None) -> DataFrame:
+    """Every key is ranked twice: inside each input partition first, then the partition
     winners against each other.  No task holds more of a key than one input
-    partition does, or one row of each partition, however large the key is, and
-    nothing has to be known about the keys beforehand.  Both rankings run over one
+    partition does, or one row of each partition, however large the key is.  Both rankings run over one
     plan: a branch of their own for the winners would evaluate the lanes twice, and
     adaptive execution may number the partitions of two branches differently.
     """
     order = recency_order(df, keys, newest_by, ties)
-    dead = F.lit(False) if alive is None else ~F.coalesce(alive, F.lit(False))
 
     def ranked(rows: DataFrame, lane: str, out: str) -> DataFrame:
         window = Window.partitionBy(*[F.col(k) for k in keys], F.col(lane)).orderBy(*order)
         return rows.withColumn(out, F.row_number().over(window))
 
-    # dead rows get lanes of their own so that they cannot win one
-    lane = F.when(dead, -1 - spread_lane()).otherwise(spread_lane())
-    first = ranked(df.withColumn("_lane", lane), "_lane", "_local")
-    contender = (F.col("_local") == 1) & (F.col("_lane") >= 0)
+    first = ranked(df.withColumn("_lane", spread_lane()), "_lane", "_local")
     return (
-        ranked(first.withColumn("_final", F.when(contender, F.lit(None).cast("int")).otherwise(F.col("_lane"))),
-               "_final", "_among")
-        .withColumn(RANK, F.when(contender, F.col("_among")).otherwise(F.lit(2)))
+        ranked(first.withColumn("_final", F.when(F.col("_local") == 1, F.lit(None).cast("int")).otherwise(F.col("_lane"))), "_final", "_among")
+        .withColumn(RANK, F.when(F.col("_local") == 1, F.col("_among")).otherwise(F.lit(2)))
         .drop("_lane", "_local", "_final", "_among")
     )
 

@@ -11,6 +11,8 @@ replacement from there, so no row is lost and none comes twice.  One writer at a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,36 +63,43 @@ class PartitionedTable:
 
     # -- writing --------------------------------------------------------------
 
-    def replace(self, df: DataFrame) -> list[str]:
-        """The partitions that ``df`` has rows for now hold these rows and no others."""
+    def replace(self, df: DataFrame, among: list[str] | None = None) -> list[str]:
+        """The partitions that ``df`` has rows for now hold these rows and no others; those of
+        ``among`` that it has none for are emptied.  Returns the partitions filled."""
         self.recover()
         with Stage(df.withColumn(PART, _label(self.by)), "replace", partition_by=[PART]) as stage:
             filled = sorted(n.removeprefix(f"{PART}=") for n in list_names(self.spark, stage.path) if n.startswith(f"{PART}="))
             if filled:
                 self._overwrite(stage.read())
+        for part in set(among or []) - set(filled):
+            remove_path(self.spark, f"{self._rows}/{PART}={part}")
         return filled
 
     def _overwrite(self, labelled: DataFrame) -> None:
         (labelled.hint("rebalance", F.col(PART)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(self._rows))
 
-    def merge(self, batch: DataFrame) -> list[str]:
+    def merge(self, batch: DataFrame, announce: Callable[[list[str]], None] | None = None) -> list[str]:
         """Insert the batch's rows, replacing rows with the same key wherever they are; returns
         the partitions written.  The batch holds a key once at most.
 
         A row whose key lies in another partition moves: that partition counts as touched.  It is
         found by a semi join over the table's key columns alone.  The same batch again changes nothing.
+        ``announce`` is told the partitions before any of them changes.
         """
+        announce = announce or (lambda parts: None)
         self.recover()
         with Stage(batch.withColumn(PART, _label(self.by)), "merge") as stage:
             new = stage.read()
             if not self.parts():
-                self._write(new, self._rows)
+                announce(sorted(r[0] for r in new.select(PART).distinct().collect()))
+                self._overwrite(new)             # overwriting: what an attempt that died left here goes
                 return self.parts()
             keys = new.select(*self.keys).dropna()
             held = self._labelled()
             moved = held.select(*self.keys, PART).join(keys, self.keys, "left_semi").select(PART)
             touched = sorted(r[0] for r in moved.union(new.select(PART)).distinct().collect())      # directory names
+            announce(touched)
             if not touched:
                 return []
             rest = held.where(F.col(PART).isin(touched)).join(keys, self.keys, "left_anti")

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.operators.partitioned import PartitionedTable
 from silverlode.schemas import struct
 from silverlode.session import list_names, path_bytes, remove_path
 
@@ -243,7 +244,10 @@ class VersionedTable:
         return [c for c in self._chain(state) if c.directory]
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The table as of a version (default: the latest)."""
+        """The table as of a version (default: the latest).  A table that is kept partition by
+        partition has its present rows only."""
+        if version is None and not self.exists() and (kept := PartitionedTable(self.spark, self.path)).exists():
+            return kept.read()
         state = self._at(version)
         return self._assemble(self._live(state), state.struct)
 

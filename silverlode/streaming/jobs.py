@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from silverlode.operators.partitioned import PartitionedTable
 from silverlode.operators.versioned import VersionedTable
-from silverlode.plans.gold import build_gold
+from silverlode.plans.daily import advance
 from silverlode.plans.silver import process_entity
-from silverlode.plans.upkeep import fold_upserts
 from silverlode.sources.layers import Layers
 from silverlode.streaming.events import MALFORMED, decode_events, enrich_events
 from silverlode.streaming.windows import LATENESS, WINDOW, window_totals
@@ -71,15 +71,20 @@ def ingest_stream(
     return _start(rows, sink, "append", checkpoint, every, name)
 
 
+def totals_table(spark: SparkSession, path: str) -> PartitionedTable:
+    return PartitionedTable(spark, path, F.to_date("window_start"), ["window_start", "status_key"])
+
+
 def windowed_stream(
     envelope: DataFrame, table_path: str, checkpoint: str, window: str = WINDOW,
-    lateness: str = LATENESS, every: str | None = TOTALS_EVERY, mode: str = "update",
-    writer: str = "stream-totals", name: str | None = None,
+    lateness: str = LATENESS, every: str | None = TOTALS_EVERY, mode: str = "update", name: str | None = None,
 ) -> StreamingQuery:
-    """Keep window totals up to date in a table keyed by (window, status).
+    """Keep window totals up to date, keyed by (window, status) and partitioned by the window's day.
 
     ``update`` writes the changed windows of every batch, ``append`` only windows
-    that are final.
+    that are final.  A batch replaces the days its windows are in and nothing else, so the table holds
+    each total once, however long the stream runs; totals are whole values, so the same batch
+    again, after a failure, changes nothing.
     """
     totals = window_totals(enrich_events(decode_events(envelope)), window, lateness)
 
@@ -89,9 +94,7 @@ def windowed_stream(
             # a key must not be NULL, and no status must not look like an empty one
             F.coalesce(F.concat(F.lit("="), "status"), F.lit("")).alias("status_key"), "status",
             "transaction_count", "total_revenue")
-        VersionedTable(batch.sparkSession, table_path).upsert(
-            flat, ["window_start", "status_key"], check_unique=False, operation="STREAM",
-            writer=_identity(batch, writer), batch=batch_id)
+        totals_table(batch.sparkSession, table_path).merge(flat)
 
     return _start(totals, sink, mode, checkpoint, every, name)
 
@@ -112,11 +115,9 @@ def gold_stream(
     spark: SparkSession, ticks: DataFrame, layers: Layers, checkpoint: str,
     every: str | None = TOTALS_EVERY, name: str | None = None, as_of: dt.date | None = None,
 ) -> StreamingQuery:
-    """Bring silver and then gold up to date whenever ``ticks`` brings rows.  Gold tables
-    are replaced as a whole, so a repeated batch writes the same again."""
+    """Bring silver and then gold up to date whenever ``ticks`` brings rows, by the days that the new
+    rows touch.  The job keeps its own marks, so a repeated batch finds nothing to do."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        process_entity(batch.sparkSession, layers, "transactions")
-        fold_upserts(batch.sparkSession, layers)
-        build_gold(batch.sparkSession, layers, as_of=as_of)
+        advance(batch.sparkSession, layers, as_of=as_of)
 
     return _start(ticks, sink, "append", checkpoint, every, name)
