@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.session import Stage, list_names, path_exists, remove_path
+from silverlode.session import Stage, list_names, path_exists, publish_names, remove_path
 
 PART = "_part"
 
@@ -67,10 +67,9 @@ class PartitionedTable:
         """The partitions that ``df`` has rows for now hold these rows and no others; those of
         ``among`` that it has none for are emptied.  Returns the partitions filled."""
         self.recover()
-        with Stage(df.withColumn(PART, _label(self.by)), "replace", partition_by=[PART]) as stage:
-            filled = sorted(n.removeprefix(f"{PART}=") for n in list_names(self.spark, stage.path) if n.startswith(f"{PART}="))
-            if filled:
-                self._overwrite(stage.read())
+        seen = Observation()
+        self._overwrite(df.withColumn(PART, _label(self.by)).observe(seen, F.collect_set(PART).alias("parts")))
+        filled = sorted(seen.get["parts"])       # directory names
         for part in set(among or []) - set(filled):
             remove_path(self.spark, f"{self._rows}/{PART}={part}")
         return filled
@@ -106,8 +105,8 @@ class PartitionedTable:
             merged = new.unionByName(rest, allowMissingColumns=True)
             remove_path(self.spark, self._next)
             self._write(merged, f"{self._next}/rows")
-            # the list of touched partitions is written last: with it the replacement is certain
-            self.spark.createDataFrame([(t,) for t in touched], "part string").coalesce(1).write.parquet(f"{self._next}/ready")
+            # the names of the touched partitions come last: with them the replacement is certain
+            publish_names(self.spark, f"{self._next}/ready", touched)
         self.recover()
         return touched
 
@@ -116,9 +115,9 @@ class PartitionedTable:
 
     def recover(self) -> bool:
         """Finish a replacement that is ready; returns whether there was one."""
-        if not any(n.endswith(".parquet") for n in list_names(self.spark, f"{self._next}/ready")):
-            return False                         # none, or it died before its list was complete
-        touched = {r.part for r in self.spark.read.schema("part string").parquet(f"{self._next}/ready").collect()}
+        touched = set(list_names(self.spark, f"{self._next}/ready"))
+        if not touched:
+            return False
         filled = {n.removeprefix(f"{PART}=") for n in list_names(self.spark, f"{self._next}/rows") if n.startswith(f"{PART}=")}
         if filled:
             self._overwrite(self.spark.read.option("mergeSchema", True).parquet(f"{self._next}/rows"))

@@ -83,6 +83,17 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(target)]
 
 
+def publish_names(spark: SparkSession, path: str, names: list[str]) -> None:
+    """Make a directory that lists names (as empty directories), all at once by a rename."""
+    jvm = spark._jvm
+    target, draft = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}-draft")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(draft, True)
+    for name in names:
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(draft, name))
+    fs.rename(draft, target)
+
+
 class Stage:
     """A frame written once to the shared area so that several sinks can read it.
 

@@ -9,21 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.operators import (
-    Parses, Ruleset, VersionedTable, merge_by_key, newest_per_key, split_duplicates,
+    Parses, PartitionedTable, Ruleset, VersionedTable, merge_by_key, newest_per_key, split_duplicates,
     split_foreign_key, split_nulls, split_range,
 )
 from silverlode.operators.rules import (
     CHECKED_AT, customer_rules, product_rules, split_tagged, transaction_rules, verdict_counts,
 )
 from silverlode.operators.versioned import VersionNotFound, check_append, compare
-from silverlode.plans import gold
+from silverlode.plans import daily, gold
 from silverlode.plans.batch import run_batch
 from silverlode.plans.bronze import with_event_time, with_lineage
 from silverlode.plans.silver import (
     high_water_mark, newer_than, process_entity, transform_customers, transform_products, transform_transactions,
 )
 from silverlode.plans.upkeep import layer_metrics
-from silverlode.session import shared_dir
+from silverlode.session import list_names, remove_path, shared_dir
 from silverlode.sources import Layers, file_stream, read_raw
 from silverlode.streaming import decode_events, ingest_stream, windowed_stream
 from silverlode.streaming.events import split_malformed
@@ -631,3 +631,81 @@ def batch_run_metrics(spark, sf):
     return layer_metrics(spark, _batch(spark, sf)).select(
         "layer", "table", "operation", "row_count",
         *[F.coalesce(c, F.lit(-1)).cast("bigint").alias(c) for c in ("accepted", "rejected")])   # -1: not counted
+
+
+# -- partition by partition ------------------------------------------------------
+
+@query
+def upsert_touches_few(spark, sf):
+    """Orders by month, merged with changes to the last months and with orders that move there from an
+    earlier one: which partitions were written, and the rows."""
+    orders = canon.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    table = PartitionedTable(spark, shared_dir(spark, "by-month"), F.trunc("o_orderdate", "month"), ["o_orderkey"])
+    table.merge(orders)
+    files = {r.f for r in table.read().select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    late = orders.where("o_orderdate >= timestamp_ntz'2001-06-01'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    moved = orders.where("o_orderdate >= timestamp_ntz'1998-03-01' and o_orderdate < timestamp_ntz'1998-04-01' and o_custkey % 7 = 0") \
+        .withColumn("o_orderdate", F.expr("timestamp_ntz'2001-07-15'"))
+    written = table.merge(late.unionByName(moved))
+    return table.read().withColumn("rewritten", ~F.col("_metadata.file_path").isin(list(files))).withColumns({
+        "parts_written": F.lit(len(written)).cast("bigint"), "parts_held": F.lit(len(table.parts())).cast("bigint")})
+
+
+@query
+def gold_after_three_batches(spark, sf):
+    """Day, week and month summaries that three batches added to; later batches replace rows of earlier ones."""
+    layers = Layers(shared_dir(spark, "by-days"))
+    bronze = VersionedTable(spark, layers.path("bronze", "transactions"))
+    rows = with_event_time(canon.transactions(spark, sf))
+    for flag in ("A", "N", "R"):
+        bronze.append(rows.where(F.col("shipping_address") == flag))
+        daily.advance(spark, layers, as_of=AS_OF, now=NOW, grain="month")
+    out = None
+    for name, number in (("daily", F.dayofyear("sale_date")), ("weekly", F.col("week_number")), ("monthly", F.col("month"))):
+        table = VersionedTable(spark, layers.path("gold", f"{name}_sales_summary")).read()
+        part = table.select(F.lit(name).alias("summary"), "year", number.alias("number"), "transaction_count", "unique_customers", "unique_products",
+                            "total_revenue", "total_quantity_sold", "avg_transaction_value", "total_profit")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# -- streams in several batches ----------------------------------------------------
+
+def _batched_events(spark, sf, where: str):
+    """The events as six files, taken one a batch: every tenth event comes two batches late."""
+    events = canon.table(spark, sf, "events")
+    n = events.agg(F.max("event_id")).first()[0] + 1
+    batch = F.least(F.expr(f"event_id * 6 div {n}") + F.when(F.col("event_id") % 10 == 0, 2).otherwise(0), F.lit(5))
+    for i in range(6):
+        canon.envelope(events.where(batch == i)).coalesce(1).write.mode("append").parquet(f"{where}/bus")
+    return file_stream(spark, f"{where}/bus", max_files=1)
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Totals leave out what comes behind the watermark."""
+    where = shared_dir(spark, "stream-late")
+    _run(windowed_stream(_batched_events(spark, sf, where), f"{where}/table", f"{where}/checkpoint", window="1 hour", every=None))
+    return shown(VersionedTable(spark, f"{where}/table").read().drop("status_key"))
+
+
+@query
+def stream_replay(spark, sf):
+    """Both jobs die before their last batch is noted as done (one leaves a torn commit as well) and start again:
+    every event is there once, and every total is that of one pass."""
+    where = shared_dir(spark, "stream-replay")
+    bus = _batched_events(spark, sf, where)
+    for again in (False, True):
+        _run(ingest_stream(bus, f"{where}/rows", f"{where}/ck-rows", every=None, now=NOW))
+        _run(windowed_stream(bus, f"{where}/totals", f"{where}/ck-totals", window="1 hour", every=None))
+        for ck in () if again else ("ck-rows", "ck-totals"):
+            last = max(int(n) for n in list_names(spark, f"{where}/{ck}/commits") if n.isdigit())
+            for name in (f"{last}", f".{last}.crc"):
+                remove_path(spark, f"{where}/{ck}/commits/{name}")
+        if not again:
+            VersionedTable(spark, f"{where}/rows").read().limit(5).write.parquet(f"{where}/rows/data/_commit=9-torn")
+    rows = VersionedTable(spark, f"{where}/rows").read().select("transaction_id", F.lit(None).cast("timestamp_ntz").alias("window_start"),
+                                                               "status", F.lit(1).cast("bigint").alias("transaction_count"))
+    totals = canon.plain_time(VersionedTable(spark, f"{where}/totals").read()).select(
+        F.lit(None).cast("string").alias("transaction_id"), "window_start", "status", "transaction_count")
+    return rows.unionByName(totals)

@@ -478,3 +478,41 @@ SQL["stream_malformed"] = f"""
 WITH m AS (SELECT event_id, {_VALUE} AS v FROM events)
 SELECT CASE WHEN length(v) % 3 <> 0 THEN CAST(event_id AS VARCHAR) END AS transaction_id,
        CASE WHEN length(v) % 3 = 0 THEN substr(v, 1, 30) END AS value_text FROM m"""
+
+# -- partition by partition -------------------------------------------------------
+
+SQL["upsert_touches_few"] = """WITH o AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= '2001-06-01' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+         CASE WHEN o_orderdate >= '1998-03-01' AND o_orderdate < '1998-04-01' AND o_custkey % 7 = 0 THEN TIMESTAMP '2001-07-15' ELSE o_orderdate END AS o_orderdate
+  FROM orders
+), m AS (SELECT *, date_trunc('month', o_orderdate) AS month FROM o), w AS (
+  SELECT DISTINCT month FROM m WHERE month >= '2001-06-01' OR month = '1998-03-01')
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, month IN (SELECT month FROM w) AS rewritten,
+       (SELECT COUNT(*) FROM w) AS parts_written, (SELECT COUNT(DISTINCT month) FROM m) AS parts_held FROM m"""
+
+SQL["gold_after_three_batches"] = f"""WITH {TX},
+kept AS (SELECT * FROM tx QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY shipping_address DESC, ingestion_timestamp DESC,
+  customer_id, product_id, transaction_date, quantity, unit_price, total_amount, discount, final_amount, payment_method, status) = 1),
+silver AS ({SILVER_OF.format('kept')}),
+sales AS (SELECT *, CAST(transaction_timestamp AS DATE) AS d FROM silver WHERE status = 'COMPLETED'),
+p AS (
+  SELECT 'daily' AS summary, CAST(year(d) AS INTEGER) AS year, CAST(dayofyear(d) AS INTEGER) AS number, * FROM sales
+  UNION ALL SELECT 'weekly', CAST(year(d) AS INTEGER), CAST(weekofyear(d) AS INTEGER), * FROM sales
+  UNION ALL SELECT 'monthly', CAST(year(d) AS INTEGER), CAST(month(d) AS INTEGER), * FROM sales)
+SELECT summary, year, number, {_METRICS} FROM p GROUP BY summary, year, number"""
+
+# An event is dropped if its window had ended at the watermark that the batch before the last one left behind.
+_LATE = """b AS (
+  SELECT *, date_trunc('second', ts) AS t, time_bucket(INTERVAL 1 HOUR, date_trunc('second', ts)) AS window_start,
+         least(5, event_id * 6 // (SELECT MAX(event_id) + 1 FROM events) + CASE WHEN event_id % 10 = 0 THEN 2 ELSE 0 END) AS batch FROM events
+), m AS (
+  SELECT batch, MAX(t) AS m FROM b GROUP BY batch
+), k AS (
+  SELECT * FROM b WHERE window_start + INTERVAL 1 HOUR > coalesce((SELECT MAX(m) FROM m WHERE m.batch <= b.batch - 2) - INTERVAL 10 MINUTE, TIMESTAMP '1900-01-01')
+), w AS (
+  SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type AS status, COUNT(*) AS transaction_count,
+         CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue FROM k GROUP BY ALL)"""
+SQL["stream_late_rows"] = f"WITH {_LATE}\nSELECT * FROM w"
+SQL["stream_replay"] = f"""WITH {_LATE}
+SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(NULL AS TIMESTAMP) AS window_start, event_type AS status, CAST(1 AS BIGINT) AS transaction_count FROM events
+UNION ALL SELECT NULL, window_start, status, transaction_count FROM w"""
