@@ -9,7 +9,7 @@ Features are the distinct lower-cased words of the whole text, and binned shares
 punctuation marks, final characters and repeated neighbours, all hashed to ``BUCKETS``.
 
 The fit sees at most ``SAMPLE_ROWS`` rated documents (the bound), chosen by a hash of
-doc_id; of them only hashed features reach the driver.  Features in fewer than
+doc_id, and cut to that number before the driver sees any; only hashed features reach it.  Features in fewer than
 ``MIN_DOCS`` of them, or a share of ``MIN_SHARE``, get no weight.  Every document is scored, whole, without a shuffle.
 
 Cases: a null or empty text has only its shape features and is scored like any other text;
@@ -91,14 +91,21 @@ def ratings(labels: DataFrame) -> DataFrame:
         .groupBy("doc_id").agg(F.min(grade).alias("grade"))
 
 
-def fit(docs: DataFrame, rated: DataFrame, sample_rows: int = SAMPLE_ROWS, rounds: int = 250, penalty: float = PENALTY) -> Model:
-    """Full-batch Adam on the penalised likelihood of the sample."""
+def sample(docs: DataFrame, rated: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """doc_id, grade and features of the documents to learn from, ``sample_rows`` at most."""
     h = F.shiftright(F.xxhash64(F.col("doc_id"), F.lit("rated")), 1) + F.lit(2**62)
     n = rated.count()
     picked = rated.filter(h < min(1.0, sample_rows / max(n, 1)) * float(2**63))
     chosen = keyed_text(docs).join(picked, "doc_id").select("doc_id", "text", "grade")
-    rows = sorted(chosen.mapInArrow(_sparse, "doc_id long, grade int, bits binary").collect(), key=lambda r: (r.doc_id, r.grade, r.bits))
-    rows = rows[:sample_rows]
+    # a repeated id brings all its rows: the first ones by hash are taken before anything reaches the driver
+    found = chosen.mapInArrow(_sparse, "doc_id long, grade int, bits binary")
+    return found.orderBy(F.xxhash64("doc_id"), "doc_id", "grade", "bits").limit(sample_rows)
+
+
+def fit(docs: DataFrame, rated: DataFrame, sample_rows: int = SAMPLE_ROWS, rounds: int = 250, penalty: float = PENALTY) -> Model:
+    """Full-batch Adam on the penalised likelihood of the sample."""
+    found = sample(docs, rated, sample_rows)
+    rows = sorted(found.collect(), key=lambda r: (r.doc_id, r.grade, r.bits))
     weights, cuts = np.zeros(BUCKETS), np.array([-0.7, 0.7])
     if not rows:
         return Model(weights, cuts)

@@ -7,7 +7,8 @@ Nystroem features, on which one ridge regression for each language is solved aga
 the rest.  Texts are scored in batches: presence matrix times landmark matrix times weights.
 
 The fit sees a sample of at most ``SAMPLE_ROWS`` labelled rows, in equal shares by language
-and chosen by a hash of doc_id, so it is the same in every run.  The executors reduce each
+and chosen by a hash of doc_id, so it is the same in every run; whatever ids repeat, each language's share
+is cut by rank before anything reaches the driver.  At most ``MAX_LANGS`` languages are learned.  The executors reduce each
 sampled text, whole, to its bits; the driver never holds a text.
 
 Cases: null text, or text without a letter, is ``und`` with score 0; rows without lang or
@@ -24,12 +25,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from silverlode.llm.arrays import mix, sliced
 
 BUCKETS = 8192
 LANDMARKS = 200
 SAMPLE_ROWS = 3000
+#: Languages learned, the most frequent ones (a landmark each at least).
+MAX_LANGS = LANDMARKS
 RIDGE = 1e-2
 FOLDS = 5
 
@@ -96,22 +100,34 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.binary()))], ["lang", "h", "bits"])
 
 
-def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
+def sample(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame | None:
+    """lang, h, text of the rows to learn from, ``sample_rows`` at most; None without any."""
     train = docs.filter(~held_out() & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r.n for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # the most frequent languages, should a dirty column name more
+    top = train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max(1, min(MAX_LANGS, sample_rows)))
+    counts = {r.lang: r.n for r in top.collect()}
     if not counts:
         return None
-    share = max(2, sample_rows // len(counts))
+    share = sample_rows // len(counts)
     h = F.xxhash64(F.col("doc_id").cast("string"))
-    # a hash range that holds a little over the share in expectation; the rest is cut by order
+    # a hash range that holds a little over the share in expectation; the rest is cut inside the tasks, by order
     rank = F.shiftright(h, 1) + F.lit(2**62)                     # 0 .. 2^63
     limit = F.create_map(*(F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 1.25 * share / n))))
     picked = train.filter(rank < limit[F.col("lang")] * float(2**63)).select("lang", h.alias("h"), "text")
+    first = Window.partitionBy("lang").orderBy("h", F.xxhash64("text"))
+    picked = picked.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= share)
+    return picked.drop("place")
+
+
+def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
+    picked = sample(docs, sample_rows)
+    if picked is None:
+        return None
     rows = sorted(picked.mapInArrow(_bits, "lang string, h long, bits binary").collect())
     if not rows:
         return None
     langs = sorted({r.lang for r in rows})
-    used = [r for lang in langs for r in [x for x in rows if x.lang == lang][:share]]
+    used = [r for lang in langs for r in rows if r.lang == lang]
     x = np.unpackbits(np.frombuffer(b"".join(r.bits for r in used), np.uint8).reshape(len(used), -1), axis=1).astype(np.float32)
     x /= np.sqrt(x.sum(1, keepdims=True))
     y = np.array([langs.index(r.lang) for r in used])

@@ -482,6 +482,20 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component, the one that gives it its id.  Rows without doc_id stay."""
-    gone = near_duplicates(docs, **options).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """One row of each component: of the document that gives it its id.  If several rows with words have that
+    doc_id, the one with the least hash of all its columns stays.  Rows without doc_id, and rows without
+    words (which are linked with nothing), all stay."""
+    name = next(n for i in range(len(docs.columns) + 1) if (n := f"_id{i}") not in docs.columns)
+    found = near_duplicates(docs, **options).filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    worded = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    same = (F.col("doc_id").cast("long") == F.col(name)) & worded
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(gone, same, "left_anti")
+    # ids that come several times: counted map-side, and seldom any
+    repeated, _ = written(found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias(name)).agg(F.count("*").alias("n"))
+                          .filter("n > 1").select(name), "repeated-ids")
+    if repeated.isEmpty():
+        return kept
+    hashed = F.xxhash64(*(F.col(f"`{c}`") for c, t in docs.dtypes if "map<" not in t))
+    one = kept.join(repeated, same, "left_semi").groupBy(F.col("doc_id").alias(name)).agg(F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), hashed).alias("row"))
+    return kept.join(repeated, same, "left_anti").unionByName(one.select("row.*"))

@@ -7,8 +7,8 @@ through look-around.  Java's matcher then never recurses, a match costs time lin
 the text, and positions stay those of the original.
 
 Positions follow from the lengths of matches and of what lies between them.  The running
-sums are taken in blocks of 256 matches, so that a text full of matches does not cost
-their square.
+sums are taken in blocks of 256 matches, and masks are put in block by block, so that a text full of
+matches does not cost their square.
 
 Kinds: email, ip (parts to 255), card (16-19 digits, Luhn) and phone (8-15 digits) are
 reported always; an IBAN must pass mod 97, and a social security number counts only
@@ -178,16 +178,26 @@ def redact(docs: DataFrame) -> DataFrame:
     columns = docs.columns
     df = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
     df = _with_spans(df, "row")
+    # in blocks, as above: an interval stays open until one begins at or after its end
     interval = "struct<kind:string,start:bigint,end:bigint>"
-    merged = F.expr(f"""aggregate(array_sort(transform(spans, x -> struct(x.start AS start, -x.end AS last, x.kind AS kind))),
-        cast(array() AS array<{interval}>), (a, x) -> CASE
-            WHEN size(a) > 0 AND x.start < element_at(a, -1).end THEN concat(slice(a, 1, size(a) - 1), array(struct(
-                element_at(a, -1).kind AS kind, element_at(a, -1).start AS start, greatest(element_at(a, -1).end, -x.last) AS end)))
-            ELSE concat(a, array(struct(x.kind AS kind, x.start AS start, -x.last AS end))) END)""")
-    df = df.select("row", "t", merged.alias("cut"))
-    starts = "concat(array(0L), transform(slice(cut, 1, size(cut) - 1), x -> x.end))"
+    grown = "struct(a.open.kind AS kind, a.open.start AS start, greatest(a.open.end, x.end) AS end)"
+    df = df.select("row", "t", F.expr("""transform(array_sort(transform(spans, x -> struct(x.start AS start, -x.end AS last, x.kind AS kind))),
+        x -> struct(x.kind AS kind, x.start AS start, -x.last AS end))""").alias("s"))
+    df = df.select("row", "t", F.expr(f"""CASE WHEN size(s) > 0 THEN aggregate(
+        transform(sequence(0, (size(s) - 1) div {BLOCK}), b -> slice(s, b * {BLOCK} + 1, {BLOCK})),
+        struct(cast(NULL AS {interval}) AS open, cast(array() AS array<array<{interval}>>) AS done),
+        (r, z) -> get(transform(array(aggregate(z, struct(r.open AS open, cast(array() AS array<{interval}>) AS s), (a, x) ->
+            CASE WHEN x.start < a.open.end THEN struct({grown} AS open, a.s AS s)
+                 ELSE struct(x AS open, IF(a.open IS NULL, a.s, concat(a.s, array(a.open))) AS s) END)),
+            q -> struct(q.open AS open, concat(r.done, array(q.s)) AS done)), 0),
+        r -> concat(flatten(r.done), array(r.open))) ELSE cast(array() AS array<{interval}>) END""").alias("cut"))
+    # a block's own stretch of text is cut out first, so that places count from its start
+    piece = f"""get(transform(array(struct(slice(cut, int(b * {BLOCK} + 1), {BLOCK}) AS z, IF(b = 0, 0L, element_at(cut, int(greatest(1, b * {BLOCK}))).end) AS p)), y ->
+        get(transform(array(substring(t, int(y.p + 1), int(element_at(y.z, -1).end - y.p))), c -> array_join(
+            zip_with(y.z, concat(array(y.p), transform(slice(y.z, 1, size(y.z) - 1), x -> x.end)),
+                     (x, q) -> concat(substring(c, int(q - y.p + 1), int(x.start - q)), '[', x.kind, ']')), '')), 0)), 0)"""
     new = F.expr(f"""CASE WHEN size(cut) = 0 THEN t ELSE concat(
-        array_join(zip_with(cut, {starts}, (x, p) -> concat(substring(t, int(p + 1), int(x.start - p)), '[', x.kind, ']')), ''),
+        array_join(transform(sequence(0, (size(cut) - 1) div {BLOCK}), b -> {piece}), ''),
         substring(t, int(element_at(cut, -1).end + 1))) END""")
     df = df.select("row", F.when(F.col("row.text").isNotNull(), new).alias("new"))
     out = []

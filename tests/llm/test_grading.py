@@ -32,3 +32,10 @@ def test_odd_rows(spark, odd_docs, empty):
     assert grading.classify(empty, labels).count() == 0
     none = grading.classify(odd_docs, labels.filter("false")).collect()
     assert len({r.expected_grade for r in none}) == 1
+
+
+def test_the_sample_is_bounded(spark, small):
+    docs = small("documents").select("doc_id", "text")
+    repeated = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    rated = docs.select("doc_id", (F.col("doc_id") % 3).cast("int").alias("grade"))
+    assert 0 < grading.sample(docs.unionByName(repeated), rated, 50).count() <= 50

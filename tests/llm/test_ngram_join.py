@@ -98,3 +98,15 @@ def test_chains_near_the_threshold(spark):
     rng.shuffle(docs)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     assert rows(nj.near_duplicates(df)) == brute(docs)
+
+
+def test_keep_one_of_repeated_rows(spark):
+    line = "one two three four five six seven eight nine ten"
+    rows = [(1, line, "a"), (1, line, "a"), (1, line, "b"), (2, line, "c"), (3, None, "d"), (3, None, "d"), (3, "", "e"), (None, line, "f"),
+            (None, line, "f"), (4, "another text of its own that nobody shares at all", "g"), (5, line + " eleven", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _id0 string").repartition(4)
+    kept = sorted(((r.doc_id, r.text, r._id0) for r in nj.keep_one(docs).collect()), key=repr)
+    assert [r for r in kept if r[0] == 1] in ([(1, line, "a")], [(1, line, "b")])
+    assert sorted((r for r in kept if r[0] != 1), key=repr) == sorted((r for r in rows if r[0] in (3, 4, None)), key=repr)
+    again = sorted(((r.doc_id, r.text, r._id0) for r in nj.keep_one(docs.repartition(2)).collect()), key=repr)
+    assert again == kept

@@ -1,3 +1,4 @@
+import time
 import hashlib
 import re
 
@@ -104,3 +105,18 @@ def test_redaction(spark, tricky, odd_docs, empty):
     row = done.filter("doc_id = 7").first()
     assert row.text == "Grüße aus Köln, [card] und [email]" and row.n_chars == len(row.text)
     assert digest(empty).count() == 0 and redact(empty).count() == 0
+
+
+def test_many_spans_in_one_text(spark):
+    text = " ".join(f"user{i}@mail{i % 7}.org" + (" 10.0.0.1" if i % 900 == 0 else "") for i in range(100_000))
+    start = time.time()
+    out = redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+    assert time.time() - start < 120
+    assert out == re.sub(r"10\.0\.0\.1", "[ip]", re.sub(r"user\d+@mail\d\.org", "[email]", text))
+
+
+def test_spans_that_overlap_across_blocks(spark):
+    """Phone numbers over addresses: one mask each, wherever a block of spans ends."""
+    text = " x ".join(["+49 (0) 10.20.30.40 5"] * 700)
+    out = redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+    assert out == " x ".join(["[phone]"] * 700)
