@@ -148,7 +148,22 @@ class Parses:
         return _reject(df, value.isNotNull() & value.try_cast(self.type_name).isNull(), self.message)
 
 
-Rule = NotNull | Unique | Range | ForeignKey | Parses
+@dataclass(frozen=True)
+class Readable:
+    """The raw text must have fitted the declared columns.  The reader leaves the text of rows that did
+    not in a column of its own, which goes to quarantine with them."""
+
+    column: str
+
+    @property
+    def message(self) -> str:
+        return "Unreadable text"
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        return _reject(df, F.col(self.column).isNotNull(), self.message)
+
+
+Rule = NotNull | Unique | Range | ForeignKey | Parses | Readable
 
 
 @dataclass(frozen=True)

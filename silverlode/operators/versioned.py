@@ -27,8 +27,9 @@ import datetime as dt
 import json
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -324,6 +325,24 @@ class VersionedTable:
             out = out.unionByName(p)
         return out
 
+    def images(self, after: int, upto: int | None = None) -> DataFrame:
+        """Every row that an upsert after one version, up to another, brought: its key, ``before`` (what its
+        key held until then, or NULL), ``after`` and ``_version``.
+
+        A window over the versions of a key pairs them, so each key's rows meet once whatever the
+        number of commits.  Images reach back to the last full write; NULL keys have none before."""
+        state = self._at(upto)
+        live = [c for c in self._live(state)]
+        keys = next((c.keys for c in reversed(live) if c.kind == UPSERT), state.last.keys)
+        rest = [n for n in state.struct.names if n not in keys]
+        rows = self._scan(live, state.struct, versions=True)
+        row = F.struct(*rest)
+        versions = Window.partitionBy(*keys).orderBy(_VERSION)
+        named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        paired = rows.select(*keys, F.when(named, F.lag(row).over(versions)).alias("before"), row.alias("after"), _VERSION)
+        upserts = [c.version for c in live if c.kind == UPSERT and c.version > after]
+        return paired.where(F.col(_VERSION).isin(upserts))
+
     def _empty(self, schema: T.StructType) -> DataFrame:
         return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 

@@ -48,13 +48,15 @@ def ingest(
     register_as: str | None = None,
     partition_by_day: bool = True,
     now: dt.datetime | None = None,
+    keep_corrupt: bool = False,
 ) -> int:
     """Append one raw batch to its bronze table and return the version written.
 
-    The files are scanned once.  ``register_as`` names a catalog table that shows
-    the latest batch only; it points at the files just written.
+    The files are scanned once.  ``register_as`` names a catalog table that holds
+    the latest batch only.  ``keep_corrupt`` keeps the text of rows that do not fit the declared
+    columns; silver's rules then send these rows to quarantine with it.
     """
-    batch = enrich_files(read_raw(spark, source, entity, fmt, infer=infer), entity, now)
+    batch = enrich_files(read_raw(spark, source, entity, fmt, infer=infer, keep_corrupt=keep_corrupt), entity, now)
     table = VersionedTable(spark, layers.path("bronze", entity))
     version = table.append(
         batch,
@@ -67,15 +69,12 @@ def ingest(
     return version
 
 
-def register_latest(table: VersionedTable, version: int, name: str) -> None:
-    """(Re-)point a catalog table at the rows of one commit, without a copy."""
-    commit = table.commit_of(version)
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema_of(version))
-    parts = ", ".join(f"`{c}`" for c in commit.partition_by)
-    location = table._directory(commit.directory).replace("'", "\\'")
+def register_latest(table: VersionedTable, version: int, name: str, path: str | None = None) -> None:
+    """(Re-)make a catalog table of the rows of one commit.  It has files of its own (at ``path``, or the
+    warehouse), so neither compaction nor expiry of the versions takes them away."""
+    parts = table.commit_of(version).partition_by
     table.spark.sql(f"DROP TABLE IF EXISTS {name}")
-    table.spark.sql(
-        f"CREATE TABLE {name} ({columns}) USING parquet "
-        + (f"PARTITIONED BY ({parts}) " if parts else "") + f"LOCATION '{location}'")
+    writer = table.read_since(version - 1, version).write.mode("overwrite").format("parquet")
     if parts:
-        table.spark.sql(f"MSCK REPAIR TABLE {name}")
+        writer = writer.partitionBy(*parts)
+    (writer.option("path", path) if path else writer).saveAsTable(name)

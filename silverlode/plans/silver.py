@@ -12,10 +12,11 @@ from silverlode import schemas
 from silverlode.functions import lower_clean, money, parse_event_time, percent_of, trimmed, upper_clean
 from silverlode.functions.time import clock
 from silverlode.operators.rules import (
-    FAILED, PASSED, STATUS, customer_rules, product_rules, transaction_rules,
+    FAILED, PASSED, STATUS, Readable, Ruleset, customer_rules, product_rules, transaction_rules,
 )
 from silverlode.operators.versioned import VersionedTable
 from silverlode.session import Stage
+from silverlode.sources.files import CORRUPT
 from silverlode.sources.layers import Layers
 
 # Fixed value: share of the list price assumed to be cost.
@@ -156,7 +157,7 @@ def process_entity(
     if rows is None or rows.isEmpty():
         return SilverResult(0, 0)
 
-    tagged = _rules(spark, layers, entity, strict_parity).tag(rows, now)
+    tagged = readable_first(_rules(spark, layers, entity, strict_parity), rows).tag(rows, now)
     guard = {"writer": _WRITER, "batch": upto, "replay": not incremental, "now": now}
     watch = {
         _MARK: F.unix_micros(F.max("ingestion_timestamp")),
@@ -170,7 +171,7 @@ def process_entity(
             quarantine.overwrite(rejected, operation="QUARANTINE", **guard)
         elif seen["rejected"]:
             quarantine.append(rejected, operation="QUARANTINE", **guard)
-        accepted = stage.read().where(F.col(STATUS) == PASSED)
+        accepted = stage.read().where(F.col(STATUS) == PASSED).drop(CORRUPT)
         silver.upsert(
             _TRANSFORM[entity](accepted, now), schemas.KEYS[entity], check_unique=False,
             facts={**{k: seen[k] for k in watch}, _MARK: _latest(silver, seen[_MARK])}, **guard)
@@ -183,6 +184,13 @@ def _latest(silver: VersionedTable, batch_mark: int | None) -> int | None:
     return max((m for m in (before, batch_mark) if m is not None), default=None)
 
 
+def readable_first(rules: Ruleset, rows: DataFrame) -> Ruleset:
+    """Where bronze keeps the text of unreadable rows, that is what they are rejected for."""
+    if CORRUPT not in rows.columns:
+        return rules
+    return Ruleset([Readable(CORRUPT), *rules.rules], rules.strict_parity, rules.extra)
+
+
 def _rules(spark: SparkSession, layers: Layers, entity: str, strict_parity: bool):
     if entity == "customers":
         return customer_rules()

@@ -18,13 +18,14 @@ from silverlode.operators.rules import (
 from silverlode.operators.versioned import VersionNotFound, check_append, compare
 from silverlode.plans import daily, gold
 from silverlode.plans.batch import run_batch
-from silverlode.plans.bronze import with_event_time, with_lineage
+from silverlode.plans.bronze import ingest, register_latest, with_event_time, with_lineage
 from silverlode.plans.silver import (
     high_water_mark, newer_than, process_entity, transform_customers, transform_products, transform_transactions,
 )
 from silverlode.plans.upkeep import layer_metrics
 from silverlode.session import list_names, remove_path, shared_dir
 from silverlode.sources import Layers, file_stream, read_raw
+from silverlode.sources.files import CORRUPT
 from silverlode.streaming import decode_events, ingest_stream, windowed_stream
 from silverlode.streaming.events import split_malformed
 from workload import canon
@@ -709,3 +710,56 @@ def stream_replay(spark, sf):
     totals = canon.plain_time(VersionedTable(spark, f"{where}/totals").read()).select(
         F.lit(None).cast("string").alias("transaction_id"), "window_start", "status", "transaction_count")
     return rows.unionByName(totals)
+
+
+# -- kept text, kept batches, images, sketches --------------------------------------
+
+@query
+def csv_quarantine(spark, sf):
+    """Raw rows whose cells do not fit go to quarantine with their text; the others to silver."""
+    root = shared_dir(spark, "bad-csv")
+    canon.products(spark, sf).withColumn("stock_quantity", F.when(F.col("stock_quantity") > 40, F.lit("many")).otherwise(
+        F.col("stock_quantity").cast("string"))).write.option("header", True).csv(f"{root}/raw")
+    layers = Layers(f"{root}/lake")
+    ingest(spark, f"{root}/raw", layers, "products", keep_corrupt=True, now=NOW)
+    process_entity(spark, layers, "products", now=NOW)
+    good = VersionedTable(spark, layers.path("silver", "products")).read()
+    bad = VersionedTable(spark, layers.path("quarantine", "products")).read()
+    text = F.col(CORRUPT).startswith(F.concat("product_id", F.lit(","))) & F.col(CORRUPT).contains("many")
+    return good.select("product_id", F.lit(None).cast("string").alias("error_message"), F.lit(False).alias("text_kept"), (F.lit(CORRUPT).isin(good.columns)).alias("in_silver")) \
+        .unionByName(bad.select("product_id", "error_message", text.alias("text_kept"), F.lit(False).alias("in_silver")))
+
+
+@query
+def named_table_after_expire(spark, sf):
+    """The catalog table of the last batch, after its versions were compacted and expired."""
+    root, name = shared_dir(spark, "named"), "latest_orders"
+    orders = canon.table(spark, sf, "orders")
+    table = VersionedTable(spark, f"{root}/orders")
+    for period in _PERIODS:
+        version = table.append(orders.where(period))
+    register_latest(table, version, name, f"{root}/named")
+    table.compact()
+    table.expire(before=dt.datetime.now() + dt.timedelta(days=1))
+    return spark.table(name)
+
+
+@query
+def change_feed_images(spark, sf):
+    """Every upserted row beside what its key held before."""
+    return last_orders(spark, sf).images(after=0).select(
+        "o_custkey", "_version", F.col("before.o_orderkey").alias("o_orderkey_before"), F.col("after.o_orderkey").alias("o_orderkey_after"),
+        (F.col("after.o_totalprice") - F.col("before.o_totalprice")).alias("more"))
+
+
+@query
+def distinct_rollup(spark, sf):
+    """Exact distinct counts per month, and whether those from the days' sketches are within the stated bound."""
+    rows = silver(spark, sf)
+    month = {"year": F.year("sale_date"), "month": F.month("sale_date")}
+    about = gold.approximate_uniques(gold.daily_sketches(rows), month).withColumnsRenamed(
+        {"unique_customers": "customers_about", "unique_products": "products_about"})
+    exact = gold.monthly_sales(rows, NOW).select("year", "month", "unique_customers", "unique_products")
+    near = [(F.abs(F.col(f"{n}_about") - F.col(f"unique_{n}")) <= F.greatest(F.lit(1), F.ceil(gold.SKETCH_ERROR * F.col(f"unique_{n}")))).alias(f"{n}_within")
+            for n in ("customers", "products")]
+    return exact.join(about, ["year", "month"]).select(*exact.columns, *near)

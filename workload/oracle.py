@@ -516,3 +516,15 @@ SQL["stream_late_rows"] = f"WITH {_LATE}\nSELECT * FROM w"
 SQL["stream_replay"] = f"""WITH {_LATE}
 SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(NULL AS TIMESTAMP) AS window_start, event_type AS status, CAST(1 AS BIGINT) AS transaction_count FROM events
 UNION ALL SELECT NULL, window_start, status, transaction_count FROM w"""
+
+SQL["csv_quarantine"] = """SELECT CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN p_size > 40 THEN 'Unreadable text' END AS error_message,
+  p_size > 40 AS text_kept, false AS in_silver FROM part"""
+SQL["named_table_after_expire"] = "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'"
+SQL["change_feed_images"] = f"""WITH {UPSERTS}, i AS (
+  SELECT o_custkey, CAST(v AS BIGINT) AS _version, lag(o_orderkey) OVER w AS o_orderkey_before, o_orderkey AS o_orderkey_after,
+         o_totalprice - lag(o_totalprice) OVER w AS more FROM ups WINDOW w AS (PARTITION BY o_custkey ORDER BY v))
+SELECT * FROM i WHERE _version > 0"""
+SQL["distinct_rollup"] = f"""WITH {SILVER}
+SELECT CAST(year(transaction_timestamp) AS INTEGER) AS year, CAST(month(transaction_timestamp) AS INTEGER) AS month,
+       COUNT(DISTINCT customer_id) AS unique_customers, COUNT(DISTINCT product_id) AS unique_products,
+       true AS customers_within, true AS products_within FROM sales GROUP BY 1, 2"""
