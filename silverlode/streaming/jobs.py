@@ -44,7 +44,7 @@ def _identity(batch: DataFrame, writer: str) -> str:
 def ingest_stream(
     envelope: DataFrame, table_path: str, checkpoint: str, lateness: str = LATENESS,
     every: str | None = INGEST_EVERY, writer: str = "stream-ingest", name: str | None = None,
-    now: dt.datetime | None = None, malformed_path: str | None = None,
+    now: dt.datetime | None = None, malformed_path: str | None = None, metrics_path: str | None = None,
 ) -> StreamingQuery:
     """Append events to the bronze transactions table.
 
@@ -55,6 +55,8 @@ def ingest_stream(
     With ``malformed_path`` a message whose value is no JSON object goes there with its
     text, before the good rows of the batch; otherwise it becomes a row of NULLs that the
     quality rules reject.
+
+    With ``metrics_path`` every batch leaves one row there (see ``batch_metrics``), also just once.
     """
     decoded = decode_events(envelope, keep_malformed=malformed_path is not None)
     rows = enrich_events(decoded, now).withWatermark("transaction_timestamp", lateness)
@@ -66,11 +68,23 @@ def ingest_stream(
                 "kafka_key", "kafka_timestamp", F.col(MALFORMED).alias("value_text"), "ingestion_timestamp")
             VersionedTable(spark, malformed_path).append(torn, operation="STREAM", **guard)
             batch = batch.where(F.col(MALFORMED).isNull()).drop(MALFORMED)
+        if metrics_path is not None:
+            VersionedTable(spark, metrics_path).append(batch_metrics(batch, batch_id), operation="STREAM", **guard)
         VersionedTable(spark, table_path).append(batch, operation="STREAM", **guard)
 
     return _start(rows, sink, "append", checkpoint, every, name)
 
 
+def batch_metrics(batch: DataFrame, batch_id: int) -> DataFrame:
+    """One row: how many events a batch brought, how many of them without id or time, and the
+    span of event times.  An aggregate of two columns, combined map-side; the batch's other columns are not read."""
+    return batch.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(F.col("transaction_id").isNull() | F.col("transaction_timestamp").isNull()).alias("n_incomplete"),
+        F.min("transaction_timestamp").alias("first_time"), F.max("transaction_timestamp").alias("last_time"),
+    ).select(F.lit(batch_id).cast("long").alias("batch_id"), "*")
+
+
 def totals_table(spark: SparkSession, path: str) -> PartitionedTable:
     return PartitionedTable(spark, path, F.to_date("window_start"), ["window_start", "status_key"])
 

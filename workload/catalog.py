@@ -712,6 +712,20 @@ def stream_replay(spark, sf):
     return rows.unionByName(totals)
 
 
+@query
+def stream_metrics(spark, sf):
+    """What each batch of an ingesting stream brought, kept once though the last batch comes twice."""
+    where = shared_dir(spark, "stream-metrics")
+    bus = _batched_events(spark, sf, where)
+    for again in (False, True):
+        _run(ingest_stream(bus, f"{where}/rows", f"{where}/ck", every=None, now=NOW, metrics_path=f"{where}/metrics"))
+        last = max(int(n) for n in list_names(spark, f"{where}/ck/commits") if n.isdigit())
+        for name in () if again else (f"{last}", f".{last}.crc"):
+            remove_path(spark, f"{where}/ck/commits/{name}")
+    return canon.plain_time(VersionedTable(spark, f"{where}/metrics").read()).select(
+        "batch_id", "n_rows", "n_incomplete", "first_time", "last_time")
+
+
 # -- kept text, kept batches, images, sketches --------------------------------------
 
 @query

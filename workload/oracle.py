@@ -517,6 +517,9 @@ SQL["stream_replay"] = f"""WITH {_LATE}
 SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(NULL AS TIMESTAMP) AS window_start, event_type AS status, CAST(1 AS BIGINT) AS transaction_count FROM events
 UNION ALL SELECT NULL, window_start, status, transaction_count FROM w"""
 
+SQL["stream_metrics"] = f"""WITH {_LATE}
+SELECT CAST(batch AS BIGINT) AS batch_id, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_incomplete, MIN(t) AS first_time, MAX(t) AS last_time FROM b GROUP BY batch"""
+
 SQL["csv_quarantine"] = """SELECT CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN p_size > 40 THEN 'Unreadable text' END AS error_message,
   p_size > 40 AS text_kept, false AS in_silver FROM part"""
 SQL["named_table_after_expire"] = "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'"
