@@ -54,7 +54,7 @@ def test_decode_and_enrich(spark):
     assert len(out) == 3
     first = next(r for r in out if r.transaction_id == "T1")
     assert first.kafka_key == "k" and first.source_file == "kafka_stream" and first.data_source == "kafka"
-    assert first.transaction_timestamp == T(2024, 1, 1, 10) and first.ingestion_date == dt.date(2024, 1, 2)
+    assert first.transaction_timestamp == dt.datetime(2024, 1, 1, 10) and first.ingestion_date == dt.date(2024, 1, 2)
     assert sum(r.transaction_id is None for r in out) == 2
     good, bad = split_malformed(env)
     assert good.count() == 2 and bad.first().value_text == "not json"
@@ -147,3 +147,14 @@ def test_files_and_events_share_a_bronze_table(spark, bus, tmp_path):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         bus_stream(spark, "nowhere:9092", "transactions").select(F.col("key"))
+
+
+def test_metrics_of_batches(spark, bus, tmp_path):
+    bus.send(event(1, "10:00:00"), event(2, "10:05:00"))
+    bus.send(event(3, "09:00:00"), "no json")
+    for _ in range(2):                          # nothing new the second time: nothing is added
+        ingest_stream(bus.stream(), str(tmp_path / "t"), str(tmp_path / "ck"), every=None,
+                      metrics_path=str(tmp_path / "metrics")).awaitTermination()
+    rows = VersionedTable(spark, str(tmp_path / "metrics")).read().orderBy("batch_id").collect()
+    assert [(r.batch_id, r.n_rows, r.n_incomplete) for r in rows] == [(0, 2, 0), (1, 2, 1)]
+    assert rows[0].first_time == dt.datetime(2024, 1, 1, 10) and rows[1].last_time == dt.datetime(2024, 1, 1, 9)
