@@ -18,12 +18,14 @@ rewritten row for a new one.
 
 The log is a frame.  One aggregate finds the last commit, the schema and the last full
 write; of the commits themselves only those that a version is made of reach the driver.
-A schema is stored with the commit that changes it, not with every row.
+A schema is stored with the commit that changes it, not with every row.  The value of a column
+added later stands in the schema too, where Spark's Parquet reader finds it for files without that column.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 import json
 import uuid
 from dataclasses import dataclass, field
@@ -44,13 +46,16 @@ LOG_SCHEMA = struct(
     "writer string, batch bigint"
 )
 
-APPEND, OVERWRITE, UPSERT, RESTORE, EXPIRE = "append", "overwrite", "upsert", "restore", "expire"
+APPEND, OVERWRITE, UPSERT, RESTORE, EXPIRE, WIDEN = "append", "overwrite", "upsert", "restore", "expire", "widen"
 DELETE, INSERT = "delete", "insert"
 OPTIMIZE = "OPTIMIZE"
 
 # Fixed value: upper end of the file size range wanted after compaction (bytes).
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
+# Fixed value: field metadata by which Spark fills a column that a file does not have.
+EXISTS_DEFAULT = "EXISTS_DEFAULT"
+
 _VERSION = "_version"
 _ORIGIN = "_origin"
 
@@ -362,6 +367,9 @@ class VersionedTable:
         version = last.version + 1 if last else 0
         schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema if f.name != _ORIGIN])
         if last and not replace_schema:
+            # a column's value for old files is not meant for new rows that lack it
+            filled = [f for f in state.struct if EXISTS_DEFAULT in f.metadata and f.name not in df.columns]
+            df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in filled})
             schema = _merged_schema(state.struct, schema)
         if kind == UPSERT:
             pending = {tuple(c.keys) for c in self._live(state) if c.kind == UPSERT} - {tuple(keys)}
@@ -422,10 +430,21 @@ class VersionedTable:
             partition_by=old.last.partition_by, keys=old.last.keys))
 
     def add_columns(self, defaults: dict[str, object], now: dt.datetime | None = None) -> int:
-        """Add constant columns that are not there yet; all rows are kept."""
+        """Add constant columns that are not there yet; all rows are kept.
+
+        No row is written: the value goes into the schema, and the scan fills it in for the
+        files that lack the column.  Rows that are appended later without the column have
+        NULL there.  Values may be truth values, numbers, text, dates and times."""
         state = self._at(None)
-        rows = self._assemble(self._live(state), state.struct, versions=True).withColumnRenamed(_VERSION, _ORIGIN)
-        return self.overwrite(with_defaults(rows, defaults), operation="ADD COLUMNS", now=now)
+        last = state.last
+        missing = {n: v for n, v in defaults.items() if n not in state.struct.names}
+        texts = {n: literal(v) for n, v in missing.items()}
+        types = self.spark.range(0).select(*[F.lit(v).alias(n) for n, v in missing.items()]).schema
+        added = [T.StructField(f.name, f.dataType, True, {EXISTS_DEFAULT: texts[f.name]}) for f in types]
+        return self._publish(Commit(
+            version=last.version + 1, committed_at=now or dt.datetime.now(), operation="ADD COLUMNS", kind=WIDEN,
+            row_count=0, schema=T.StructType([*state.struct.fields, *added]).json() if added else None,
+            partition_by=last.partition_by, keys=last.keys))
 
     def compact(
         self, target_bytes: int = TARGET_FILE_BYTES, zorder_by: list[str] | None = None,
@@ -471,9 +490,24 @@ class VersionedTable:
         return floor
 
 
-def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """Constant columns for the names that are missing; others stay untouched."""
-    return df.withColumns({n: F.lit(v) for n, v in defaults.items() if n not in df.columns})
+def literal(value: object) -> str:
+    """A constant as SQL text."""
+    match value:
+        case bool():
+            return str(value).lower()
+        case int():
+            return str(value) if abs(value) < 2**31 else f"{value}L"
+        case float():
+            return f"CAST('{value}' AS DOUBLE)"
+        case decimal.Decimal():
+            return f"{value:f}BD"
+        case str():
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        case dt.datetime():
+            return f"TIMESTAMP'{value.astimezone(dt.timezone.utc).isoformat(sep=' ')}'"
+        case dt.date():
+            return f"DATE'{value.isoformat()}'"
+    raise TypeError(f"no constant column of {type(value).__name__}")
 
 
 def compare(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
@@ -485,12 +519,20 @@ def compare(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     rows, as many as both sides have are changed, the rest are added or removed.  Both
     sides meet in map-side combined counts, never in a join.
     """
+    both, shared = _sides(before, after, keys)
+    return _paired(both, keys, shared)
+
+
+def _sides(before: DataFrame, after: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
     shared = [c for c in after.columns if c in before.columns and c not in keys]
 
     def counted(df: DataFrame, old: int) -> DataFrame:
         return df.select(*keys, *shared, F.lit(old).alias("_old"), F.lit(1 - old).alias("_new"))
 
-    both = counted(before, 1).unionByName(counted(after, 0))
+    return counted(before, 1).unionByName(counted(after, 0)), shared
+
+
+def _paired(both: DataFrame, keys: list[str], shared: list[str]) -> DataFrame:
     rows = both.groupBy(*keys, *shared).agg(F.sum("_old").alias("_old"), F.sum("_new").alias("_new"))
     same = F.least("_old", "_new")
     by_key = rows.groupBy(*keys).agg(
@@ -508,6 +550,38 @@ def compare(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
         total(changed).alias("changed"), total(same).alias("unchanged"))
 
 
+def _hash(columns: list[str], seed: int) -> Column:
+    """A 64-bit hash in which a missing value counts by its place."""
+    return F.xxhash64(F.lit(seed), *columns, *[F.col(c).isNull() for c in columns])
+
+
+def compare_changed(before: DataFrame, after: DataFrame, keys: list[str], buckets: int = 1 << 16) -> DataFrame:
+    """What ``compare`` returns, for sides that are mostly equal, with ``buckets_held`` and ``buckets_compared``.
+
+    Rows fall into ``buckets`` by a hash of their key.  One map-side combined aggregate gives each bucket its row counts and
+    two digests that do not depend on the order of rows (a sum that takes the old side off the new one, and an
+    exclusive or).  Buckets whose sides agree are counted as they are; only rows of the others are
+    shuffled and compared as a whole.  Equality of a bucket is that of 128 bits.  Both sides are read twice.
+    """
+    both, shared = _sides(before, after, keys)
+    both = both.withColumn("_bucket", F.pmod(_hash(keys, 0), F.lit(buckets)).cast("int"))
+    sign = F.col("_new") - F.col("_old")
+    names = [*keys, *shared]
+    digest = both.groupBy("_bucket").agg(
+        F.sum("_old").alias("_old"), F.sum("_new").alias("_new"),
+        F.sum(_hash(names, 1).cast("decimal(20,0)") * sign).alias("_sum"), F.bit_xor(_hash(names, 2)).alias("_xor"))
+    digest = digest.withColumn("_equal", (F.col("_old") == F.col("_new")) & (F.col("_sum") == 0) & (F.col("_xor") == 0))
+    # at most ``buckets`` numbers, whatever the size of the sides
+    other = F.broadcast(digest.where(~F.col("_equal")).select("_bucket"))
+    found = _paired(both.join(other, "_bucket", "left_semi"), keys, shared)
+    agreed = F.sum(F.when(F.col("_equal"), F.col("_old")))
+    whole = digest.agg(
+        *[agreed.alias(n) for n in ("rows_before", "rows_after", "unchanged")],
+        F.count(F.lit(1)).alias("buckets_held"), F.count_if(~F.col("_equal")).alias("buckets_compared"))
+    names = [*found.columns, "buckets_held", "buckets_compared"]
+    return found.unionByName(whole, allowMissingColumns=True).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+
+
 def check_append(table: VersionedTable, before: int, after: int) -> DataFrame:
     """Row counts of two versions against the rows the commits between them report.
     ``consistent`` is true when nothing was lost or doubled."""

@@ -1,13 +1,14 @@
 """Versioned tables: reads as of, upserts, restore, evolution, compaction, expiry."""
 
 import datetime as dt
+import decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from silverlode.operators import VersionedTable, merge_by_key
 from silverlode.operators.layout import bucket_of, interleave, zorder
-from silverlode.operators.versioned import VersionNotFound, check_append, compare
+from silverlode.operators.versioned import VersionNotFound, check_append, compare, compare_changed
 
 DAY = [dt.datetime(2024, 1, d) for d in range(1, 9)]
 
@@ -116,6 +117,32 @@ def test_schema_evolution(spark, table):
         table.append(spark.createDataFrame([(5,)], "id int"))
 
 
+def test_added_columns_write_no_rows(spark, table):
+    table.append(kv(spark, ("1", 1), ("2", 2)))
+    before = table.read().select(F.col("_metadata.file_path")).distinct().count()
+    values = {"a": 5, "big": 1 << 40, "b": True, "s": "it's a \\ sign", "x": 0.25, "m": decimal.Decimal("1.50"),
+              "d": dt.date(2024, 1, 2), "t": dt.datetime(2024, 1, 2, 3, 4, 5)}
+    added = table.add_columns(values)
+    assert table.commit_of(added).directory is None and table.commit_of(added).row_count == 0
+    assert table.read().select(F.col("_metadata.file_path")).distinct().count() == before
+    assert [r.asDict() for r in table.read().orderBy("id").select(*values).collect()] == [values, values]
+    assert table.read().where("a = 5 and s like 'it%'").count() == 2 and table.read().where("a is null").count() == 0
+    assert table.changes(after=0).count() == 0 and table.read_since(0, added) is None
+    table.append(kv(spark, ("3", 3)))                  # without the columns
+    table.upsert(spark.createDataFrame([("1", 9, 6)], "id string, value int, a int"), ["id"])
+    wanted = [("1", 9, 6, None), ("2", 2, 5, True), ("3", 3, None, None)]
+    assert rows(table.read().select("id", "value", "a", "b")) == wanted
+    table.compact()                                    # now the values are in the files
+    assert rows(table.read().select("id", "value", "a", "b")) == wanted
+    assert all(not f.metadata for f in table.schema_of(table.latest_version()))
+    table.restore(0)
+    assert table.read().columns == ["id", "value"]
+    table.add_columns({"a": 11})
+    assert rows(table.read()) == [("1", 1, 11), ("2", 2, 11)]
+    with pytest.raises(TypeError):
+        table.add_columns({"set": {1}})
+
+
 def test_failed_attempt_is_invisible(spark, table):
     table.append(kv(spark, ("1", 1)))
     kv(spark, ("9", 9)).write.parquet(table._directory("_commit=1-deadbeef"))
@@ -246,6 +273,22 @@ def test_compare_pairs_repeated_and_missing_keys(spark):
     assert compare(a.limit(0), a.limit(0), ["id"]).first().rows_before == 0
 
 
+def test_compare_changed_agrees_with_compare(spark):
+    a = kv(spark, (None, 1), (None, 2), (None, 3), ("1", 1), ("1", 1), ("2", None), *[(f"k{i}", i) for i in range(300)])
+    b = kv(spark, (None, 1), (None, 9), ("1", 1), ("2", 2), *[(f"k{i}", i if i % 100 else -1) for i in range(300)])
+    for left, right in ((a, b), (b, a), (a, a), (a, b.limit(0)), (a.limit(0), a.limit(0))):
+        whole = compare(left, right, ["id"]).first().asDict()
+        for buckets in (1, 7, 4096):
+            found = compare_changed(left, right, ["id"], buckets).first().asDict()
+            held, compared = found.pop("buckets_held"), found.pop("buckets_compared")
+            assert found == whole and compared <= held <= buckets
+            assert compared == 0 or left is not right
+    # a value and a missing one change places; equal rows come an even number of times
+    a = spark.createDataFrame([("x", None, "v"), ("y", "w", "w"), ("y", "w", "w")], "id string, p string, q string")
+    b = spark.createDataFrame([("x", "v", None), ("y", "u", "u"), ("y", "u", "u")], "id string, p string, q string")
+    assert compare_changed(a, b, ["id"]).first().changed == 3
+
+
 def test_changes(spark, table):
     table.append(kv(spark, ("oak", 41)))
     table.append(kv(spark, ("elm", 17)))

@@ -15,14 +15,14 @@ from silverlode.operators import (
 from silverlode.operators.rules import (
     CHECKED_AT, customer_rules, product_rules, split_tagged, transaction_rules, verdict_counts,
 )
-from silverlode.operators.versioned import VersionNotFound, check_append, compare
+from silverlode.operators.versioned import VersionNotFound, check_append, compare, compare_changed
 from silverlode.plans import daily, gold
 from silverlode.plans.batch import run_batch
 from silverlode.plans.bronze import ingest, register_latest, with_event_time, with_lineage
 from silverlode.plans.silver import (
     high_water_mark, newer_than, process_entity, transform_customers, transform_products, transform_transactions,
 )
-from silverlode.plans.upkeep import layer_metrics
+from silverlode.plans.upkeep import compact_tables, layer_metrics
 from silverlode.session import list_names, remove_path, shared_dir
 from silverlode.sources import Layers, file_stream, read_raw
 from silverlode.sources.files import CORRUPT
@@ -777,3 +777,74 @@ def distinct_rollup(spark, sf):
     near = [(F.abs(F.col(f"{n}_about") - F.col(f"unique_{n}")) <= F.greatest(F.lit(1), F.ceil(gold.SKETCH_ERROR * F.col(f"unique_{n}")))).alias(f"{n}_within")
             for n in ("customers", "products")]
     return exact.join(about, ["year", "month"]).select(*exact.columns, *near)
+
+
+# -- columns without a rewrite, comparison of what differs, raw formats -----------------
+
+@query
+def evolve_schema_in_place(spark, sf):
+    """Columns added between appends: how many rows that wrote, older rows with the values, later ones with
+    their own or none."""
+    orders = canon.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    table = VersionedTable(spark, shared_dir(spark, "widened"))
+    table.append(orders.where(_PERIODS[0]))
+    added = table.add_columns({"review_round": 7, "note": "it's new", "since": dt.date(2024, 1, 2), "share": 0.5})
+    table.append(orders.where(_PERIODS[1]))
+    table.append(orders.where(_PERIODS[2]).withColumn("review_round", F.lit(8)))
+    return table.read().withColumns({
+        "since": F.col("since").cast("string"), "rows_written": F.lit(table.commit_of(added).row_count).cast("bigint")})
+
+
+@query
+def version_diff_few_changed(spark, sf):
+    """All line items against a state in which a few orders were priced anew, dropped or are new: equal
+    parts are told by their digests."""
+    lines = canon.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate")
+    few = F.pmod(F.col("l_orderkey"), F.lit(500))
+    after = lines.where(few != 1).withColumns({
+        "l_extendedprice": F.when(few == 2, F.col("l_extendedprice") * 2).otherwise(F.col("l_extendedprice")),
+        "l_orderkey": F.when(few == 3, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))})
+    # as many buckets as keep a dozen rows each, whatever the size
+    buckets = max(64, lines.count() // 12)
+    found = compare_changed(lines, after, ["l_orderkey", "l_linenumber"], buckets)
+    return found.withColumn("few_compared", F.col("buckets_compared") * 5 < F.col("buckets_held")).drop("buckets_compared", "buckets_held")
+
+
+@query
+def raw_csv_inferred(spark, sf):
+    """A feed whose columns are not declared."""
+    path = shared_dir(spark, "raw-inferred")
+    canon.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate") \
+        .write.option("header", True).csv(path)
+    return shown(read_raw(spark, path, infer=True))
+
+
+@query
+def bronze_formats_by_day(spark, sf):
+    """A day's batch of JSON lines and a later day's Parquet files in one bronze table: what each day holds."""
+    root = shared_dir(spark, "raw-formats")
+    layers = Layers(f"{root}/lake")
+    goods = canon.products(spark, sf)
+    goods.where("stock_quantity <= 20").write.json(f"{root}/json")
+    goods.where("stock_quantity > 20").write.parquet(f"{root}/parquet")
+    for day, fmt in enumerate(("json", "parquet"), 1):
+        ingest(spark, f"{root}/{fmt}", layers, "products", fmt=fmt, now=dt.datetime(2024, 1, day))
+    return VersionedTable(spark, layers.path("bronze", "products")).read().select(
+        "product_id", "product_name", "category", "price", "cost", F.col("stock_quantity").cast("double").alias("stock_quantity"), "ingestion_date")
+
+
+@query
+def layer_compaction(spark, sf):
+    """Compaction of a whole layer: a table that is not there is reported, not an error; rows stay, files get fewer."""
+    layers = Layers(shared_dir(spark, "upkeep"))
+    for name, rows in (("customers", canon.customers(spark, sf)), ("products", canon.products(spark, sf))):
+        table = VersionedTable(spark, layers.path("bronze", name))
+        for part in range(3):
+            table.append(rows.where(F.pmod(F.crc32(rows[0]), F.lit(3)) == part).repartition(4))
+    outcome = compact_tables(spark, layers, {"bronze": ["customers", "products", "transactions"]})
+    held = None
+    for name in ("customers", "products"):
+        now = VersionedTable(spark, layers.path("bronze", name)).read().select(F.col("_metadata.file_path").alias("f")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_distinct("f").alias("files")).withColumn("table", F.lit(name))
+        held = now if held is None else held.unionByName(now)
+    return outcome.join(held, "table", "left").select("layer", "table", "done", "version", "problem", "row_count", "files")

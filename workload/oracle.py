@@ -531,3 +531,28 @@ SQL["distinct_rollup"] = f"""WITH {SILVER}
 SELECT CAST(year(transaction_timestamp) AS INTEGER) AS year, CAST(month(transaction_timestamp) AS INTEGER) AS month,
        COUNT(DISTINCT customer_id) AS unique_customers, COUNT(DISTINCT product_id) AS unique_products,
        true AS customers_within, true AS products_within FROM sales GROUP BY 1, 2"""
+
+# -- columns without a rewrite, comparison of what differs, raw formats ------------
+
+SQL["evolve_schema_in_place"] = """
+SELECT o_orderkey, o_orderdate, CAST(0 AS BIGINT) AS rows_written,
+       CAST(CASE WHEN o_orderdate < '1997-01-01' THEN 7 WHEN o_orderdate >= '1999-01-01' THEN 8 END AS INTEGER) AS review_round,
+       CASE WHEN o_orderdate < '1997-01-01' THEN 'it''s new' END AS note,
+       CASE WHEN o_orderdate < '1997-01-01' THEN '2024-01-02' END AS since,
+       CASE WHEN o_orderdate < '1997-01-01' THEN CAST(0.5 AS DOUBLE) END AS share FROM orders"""
+SQL["version_diff_few_changed"] = """
+SELECT COUNT(*) AS rows_before, COUNT(*) FILTER (l_orderkey % 500 <> 1) AS rows_after,
+       COUNT(*) FILTER (l_orderkey % 500 = 3) AS added, COUNT(*) FILTER (l_orderkey % 500 IN (1, 3)) AS removed,
+       COUNT(*) FILTER (l_orderkey % 500 = 2) AS changed, COUNT(*) FILTER (l_orderkey % 500 NOT IN (1, 2, 3)) AS unchanged,
+       true AS few_compared FROM lineitem"""
+SQL["raw_csv_inferred"] = """
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders"""
+SQL["bronze_formats_by_day"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, ' ' || p_name || ' ' AS product_name, lower(p_type) || ' ' AS category,
+       p_retailprice AS price, p_retailprice * 0.61::DOUBLE AS cost, CAST(p_size AS DOUBLE) AS stock_quantity,
+       CASE WHEN p_size <= 20 THEN DATE '2024-01-01' ELSE DATE '2024-01-02' END AS ingestion_date FROM part"""
+SQL["layer_compaction"] = """
+SELECT 'bronze' AS layer, 'customers' AS "table", true AS done, CAST(3 AS BIGINT) AS version, CAST(NULL AS VARCHAR) AS problem,
+       COUNT(*) AS row_count, CAST(1 AS BIGINT) AS files FROM customer
+UNION ALL SELECT 'bronze', 'products', true, 3, NULL, COUNT(*), 1 FROM part
+UNION ALL SELECT 'bronze', 'transactions', false, NULL, 'no such table', NULL, NULL"""
