@@ -191,3 +191,45 @@ def test_accepted_and_rejected_are_the_input(spark):
     assert both.exceptAll(df).count() == 0 and df.exceptAll(both).count() == 0
     counts = {r.error_message: r.row_count for r in verdict_counts(rules.tag(df)).collect()}
     assert sum(counts.values()) == len(rows) and counts[None] == good.count()
+
+
+def test_rows_without_a_foreign_key_do_not_meet_in_one_task(spark):
+    """Rows that need no lookup stay spread, whether or not the lacking values are small enough to broadcast."""
+    ref = spark.range(50).select(F.col("id").cast("string").alias("customer_id"))
+    rows = spark.range(0, 4000, 1, 8).select("id", F.when(F.col("id") % 4 == 0, (F.col("id") % 100).cast("string")).alias("customer_id"))
+    options = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+               "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    try:
+        tagged = Ruleset([ForeignKey("customer_id", ref)]).tag(rows)
+        per_task = tagged.where("customer_id IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in per_task) < 2000
+        assert tagged.where("validation_status = 'PASSED'").count() == rows.where("customer_id < 50").count()
+        assert tagged.count() == 4000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_foreign_key_looks_up_values_as_the_join_compares_them(spark):
+    ref = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    rows = spark.createDataFrame([("1",), ("01",), ("3",), (None,)], "k string")
+    tagged = Ruleset([ForeignKey("k", ref)]).tag(rows)
+    assert {r.k: r.validation_status for r in tagged.collect()} == {"1": "PASSED", "01": "PASSED", "3": "FAILED", None: "FAILED"}
+
+
+def test_whole_rows_are_shuffled_once_to_rank_them(spark, monkeypatch):
+    """Keys over the bound are ranked in lanes, the others by their key alone; the survivors are the same."""
+    rows = spark.range(0, 600, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 == 1, F.lit(None)).otherwise((F.col("id") % 100).cast("string")).alias("k"),
+        (F.lit(T0).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("id") % 7).cast("decimal(18,6)"))).alias("ingestion_timestamp"),
+        F.col("id").alias("v"))
+    plain = {(r.k, r.v): r._rank == 1 for r in rank_within_key(rows, ["k"]).collect()}
+    monkeypatch.setattr("silverlode.operators.dedupe.HOT_ROWS", 20)
+    laned = {(r.k, r.v): r._rank == 1 for r in rank_within_key(rows, ["k"]).collect()}
+    assert plain == laned and len(plain) == 600
+    assert sum(plain.values()) == rows.select("k").distinct().count()
+    plan = rank_within_key(rows, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
