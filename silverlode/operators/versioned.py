@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 
 from silverlode.operators.partitioned import PartitionedTable
 from silverlode.schemas import struct
-from silverlode.session import list_names, path_bytes, remove_path
+from silverlode.session import CODEC, list_names, path_bytes, remove_path
 
 LOG_SCHEMA = struct(
     "version bigint, committed_at timestamp, operation string, kind string, "
@@ -315,13 +315,10 @@ class VersionedTable:
         ]
         for c in picked:
             if c.kind in (OVERWRITE, RESTORE):
-                new = self.read(c.version)
-                new = new.select(*[F.col(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-                old = self.read(c.version - 1) if c.version else None
-                old = self._empty(schema) if old is None else old.select(
-                    *[F.col(f.name) if f.name in old.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
-                for rows, change in ((old.exceptAll(new), DELETE), (new.exceptAll(old), INSERT)):
-                    parts.append(rows.withColumns({_VERSION: F.lit(c.version).cast("bigint"), "_change": F.lit(change)}))
+                gone, come = self._replaced(c.version, schema)
+                for rows, change in ((gone, DELETE), (come, INSERT)):
+                    if rows is not None:
+                        parts.append(rows.withColumns({_VERSION: F.lit(c.version).cast("bigint"), "_change": F.lit(change)}))
         if not parts:
             return self._empty(schema).withColumns(
                 {_VERSION: F.lit(None).cast("bigint"), "_change": F.lit(None).cast("string")})
@@ -330,6 +327,45 @@ class VersionedTable:
             out = out.unionByName(p)
         return out
 
+    def _replaced(self, version: int, schema: T.StructType) -> tuple[DataFrame | None, DataFrame | None]:
+        """The rows that a commit took away, and those it brought (None: surely none).
+
+        Where both sides are made of appends, the rows of a commit that both have cancel out whole, so
+        neither is read; rows are compared only if each side has commits that the other lacks."""
+        def shown(df: DataFrame) -> DataFrame:
+            return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+        new = self._at(version)
+        if not version:
+            return None, shown(self.read(version))
+        old = self._at(version - 1)
+        had, has = self._appended(old), self._appended(new)
+        if had is None or has is None or old.struct != new.struct:
+            before, after = shown(self.read(version - 1)), shown(self.read(version))
+        else:
+            before, after = (
+                shown(self._assemble([c for c in self._live(state) if c.operation == OPTIMIZE or c.version in own], state.struct, versions=True)
+                      .where(F.col(_VERSION).isin(sorted(own)))) if own else None
+                for state, own in ((old, had - has), (new, has - had)))
+        if before is None or after is None:
+            return before, after
+        return before.exceptAll(after), after.exceptAll(before)
+
+    def _appended(self, state: State) -> set[int] | None:
+        """The commits whose rows make up a version, seen through compactions and restores; None
+        if upserts had a part in it."""
+        found = self._between(state.start or 0, state.last.version)
+        if any(c.kind == UPSERT for c in found):
+            return None
+        first, own = found[0], {c.version for c in found if c.kind == APPEND}
+        if first.kind == RESTORE:
+            under = self._appended(self._state(first.refers_to))
+        elif first.kind == OVERWRITE and first.operation == OPTIMIZE:
+            under = self._appended(self._state(first.version - 1))
+        else:
+            return own | {first.version}
+        return None if under is None else own | under
+
     def images(self, after: int, upto: int | None = None) -> DataFrame:
         """Every row that an upsert after one version, up to another, brought: its key, ``before`` (what its
         key held until then, or NULL), ``after`` and ``_version``.
@@ -384,7 +420,7 @@ class VersionedTable:
         watch = {"row_count": F.count(F.lit(1)), **(metrics or {})}
         seen = Observation()
         directory = f"_commit={version}-{uuid.uuid4().hex[:12]}"
-        out = df.observe(seen, *[c.alias(n) for n, c in watch.items()]).write
+        out = df.observe(seen, *[c.alias(n) for n, c in watch.items()]).write.option("compression", CODEC)
         if partition_by:
             out = out.partitionBy(*partition_by)
         out.parquet(self._directory(directory))
