@@ -158,3 +158,20 @@ def test_metrics_of_batches(spark, bus, tmp_path):
     rows = VersionedTable(spark, str(tmp_path / "metrics")).read().orderBy("batch_id").collect()
     assert [(r.batch_id, r.n_rows, r.n_incomplete) for r in rows] == [(0, 2, 0), (1, 2, 1)]
     assert rows[0].first_time == dt.datetime(2024, 1, 1, 10) and rows[1].last_time == dt.datetime(2024, 1, 1, 9)
+
+
+def test_batches_of_several_files_are_the_same_batches(spark, sf, tmp_path, monkeypatch):
+    """Each batch comes in equally many files, so each trigger takes one batch whole, whatever the size of a file."""
+    from workload import catalog
+
+    monkeypatch.setattr(catalog, "FILE_BYTES", 4096)
+    bus = catalog._batched_events(spark, sf, str(tmp_path))
+    counts = []
+    bus.writeStream.foreachBatch(lambda df, i: counts.append(df.count())).option("checkpointLocation", f"{tmp_path}/ck").trigger(availableNow=True).start().awaitTermination()
+    files = [n for n in (tmp_path / "bus").iterdir() if n.name.endswith(".parquet")]
+    assert len(files) > 6 and len(files) % 6 == 0
+    monkeypatch.setattr(catalog, "FILE_BYTES", 1 << 40)
+    one = []
+    catalog._batched_events(spark, sf, f"{tmp_path}/one").writeStream.foreachBatch(lambda df, i: one.append(df.count())).option(
+        "checkpointLocation", f"{tmp_path}/ck1").trigger(availableNow=True).start().awaitTermination()
+    assert counts == one and len(one) == 6

@@ -23,7 +23,7 @@ from silverlode.plans.silver import (
     high_water_mark, newer_than, process_entity, transform_customers, transform_products, transform_transactions,
 )
 from silverlode.plans.upkeep import compact_tables, layer_metrics
-from silverlode.session import list_names, remove_path, shared_dir
+from silverlode.session import list_names, path_bytes, remove_path, shared_dir
 from silverlode.sources import Layers, file_stream, read_raw
 from silverlode.sources.files import CORRUPT
 from silverlode.streaming import decode_events, ingest_stream, windowed_stream
@@ -672,14 +672,26 @@ def gold_after_three_batches(spark, sf):
 
 # -- streams in several batches ----------------------------------------------------
 
+# Fixed value: how much of the events' file a batch is made of for each file it comes in.
+FILE_BYTES = 4 << 20
+
+
 def _batched_events(spark, sf, where: str):
-    """The events as six files, taken one a batch: every tenth event comes two batches late."""
+    """The events in six batches of equally many files: every tenth event comes two batches late."""
     events = canon.table(spark, sf, "events")
     n = events.agg(F.max("event_id")).first()[0] + 1
     batch = F.least(F.expr(f"event_id * 6 div {n}") + F.when(F.col("event_id") % 10 == 0, 2).otherwise(0), F.lit(5))
+    files = max(1, -(-path_bytes(spark, f"{sf.rstrip('/')}/events.parquet") // FILE_BYTES))
+
+    def held() -> int:
+        return sum(name.endswith(".parquet") for name in list_names(spark, f"{where}/bus"))
+
     for i in range(6):
-        canon.envelope(events.where(batch == i)).coalesce(1).write.mode("append").parquet(f"{where}/bus")
-    return file_stream(spark, f"{where}/bus", max_files=1)
+        rows = canon.envelope(events.where(batch == i))
+        (rows.repartition(files) if files > 1 else rows.coalesce(1)).write.mode("append").parquet(f"{where}/bus")
+        for _ in range(files * (i + 1) - held()):            # a task without rows writes no file
+            rows.where("false").coalesce(1).write.mode("append").parquet(f"{where}/bus")
+    return file_stream(spark, f"{where}/bus", max_files=files)
 
 
 @query
