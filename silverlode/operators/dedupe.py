@@ -17,6 +17,9 @@ RANK = "_rank"
 # Fixed value: a key of up to so many rows is ranked in one task.
 HOT_ROWS = 100_000
 
+# Bits in which repeated keys are noted, and how many of them one bitmap has.
+NOTED_BITS, MAP_BITS = 1 << 27, 1 << 15
+
 
 def recency_order(df: DataFrame, keys: list[str], newest_by: str, ties: list[str] | None) -> list[Column]:
     """Newest first (NULL last), then a total order over the other columns, so the
@@ -40,8 +43,9 @@ def rank_within_key(
     (NULL is one key).
 
     How often a key comes is a map-side aggregate over the keys alone.  Keys of more than ``HOT_ROWS`` rows,
-    at most one in so many rows of the frame, are broadcast; their rows are ranked in lanes.  All other
-    live rows are shuffled once, by their key, and ranked there.
+    at most one in so many rows of the frame, are broadcast; their rows are ranked in lanes.  Other live rows
+    whose key may come again (``_may_repeat``) are shuffled once, by their key, and ranked there.  A row that
+    is alone with its key is first and stays where it is.
     """
     live = F.lit(True) if alive is None else F.coalesce(alive, F.lit(False))
     names = [f"_k{i}" for i in range(len(keys))]
@@ -49,9 +53,33 @@ def rank_within_key(
     hot = F.broadcast(counted.where(F.col("_n") > HOT_ROWS).select(*names))
     same_key = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
     window = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*recency_order(df, keys, newest_by, ties))
-    ranked = df.where(live).join(hot, same_key, "left_anti").withColumn(RANK, F.row_number().over(window))
+    noted = _note_repeated(counted, names)
+    rivals = _may_repeat(df.where(live), keys, noted).where("_again").drop("_again")
+    ranked = rivals.join(hot, same_key, "left_anti").withColumn(RANK, F.row_number().over(window))
     ranked = ranked.unionByName(_rank_in_lanes(df.where(live).join(hot, same_key, "left_semi"), keys, newest_by, ties))
-    return ranked if alive is None else ranked.unionByName(df.where(~live).withColumn(RANK, F.lit(2)))
+    aside = _may_repeat(df, keys, noted).where(~live | ~F.col("_again")).drop("_again")
+    return ranked.unionByName(aside.withColumn(RANK, F.when(live, F.lit(1)).otherwise(F.lit(2))))
+
+
+def _place(keys: list[str]) -> tuple[Column, Column]:
+    """Number of a key's bitmap, and its bit there."""
+    slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(NOTED_BITS))
+    return F.floor(slot / MAP_BITS).cast("int"), slot % MAP_BITS
+
+
+def _note_repeated(counted: DataFrame, names: list[str]) -> DataFrame:
+    """Bitmaps in which every key of several rows has its bit set: 16 MB at most, however many keys there are."""
+    number, bit = _place(names)
+    return F.broadcast(
+        counted.where(F.col("_n") > 1).groupBy(number.alias("_map")).agg(F.bitmap_construct_agg(bit).alias("_bits")))
+
+
+def _may_repeat(df: DataFrame, keys: list[str], noted: DataFrame) -> DataFrame:
+    """Add ``_again``: true for all rows of a repeated key, and for rows of other keys that share its bit."""
+    number, bit = _place(keys)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.getbit(byte, (bit % 8).cast("int")), F.lit(0)) == 1
+    return df.join(noted, number.eqNullSafe(F.col("_map")), "left").withColumn("_again", found).drop("_map", "_bits")
 
 
 def _rank_in_lanes(df: DataFrame, keys: list[str], newest_by: str, ties: list[str] | None) -> DataFrame:

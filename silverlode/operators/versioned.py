@@ -274,12 +274,17 @@ class VersionedTable:
         upserts = [c for c in live if c.kind == UPSERT]
         if not upserts:
             return self._scan(live, schema, versions)      # nothing to resolve: one plain scan
+        # what came with the last upsert or later cannot have been replaced: a plain scan
+        earlier, latest = ([c for c in live if (c.version < upserts[-1].version) == older] for older in (True, False))
+        settled = self._scan(latest, schema, versions)
+        if not earlier:
+            return settled
         rows = resolve_upserts(
-            self._scan(live, schema, versions=True),
+            self._scan(earlier, schema, versions=True),
             self._scan(upserts, schema, versions=True),
             upserts[-1].keys,
         )
-        return rows.select(*schema.names, *([_VERSION] if versions else []))
+        return rows.select(*schema.names, *([_VERSION] if versions else [])).unionByName(settled)
 
     def _scan(self, commits: list[Commit], schema: T.StructType, versions: bool = False) -> DataFrame:
         paths = [self._directory(c.directory) for c in commits]

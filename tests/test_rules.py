@@ -4,12 +4,14 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from silverlode.operators import (
     ForeignKey, NotNull, Parses, Range, Ruleset, Unique, newest_per_key, rank_within_key,
     split_duplicates, split_foreign_key, split_nulls, split_range,
 )
+from silverlode.operators.dedupe import _may_repeat, _note_repeated
 from silverlode.operators.rules import product_rules, stamp_verdict, transaction_rules, verdict_counts
 
 T0 = dt.datetime(2024, 1, 1, 10)
@@ -233,3 +235,31 @@ def test_whole_rows_are_shuffled_once_to_rank_them(spark, monkeypatch):
     assert sum(plain.values()) == rows.select("k").distinct().count()
     plan = rank_within_key(rows, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+def test_rows_alone_with_their_key_are_not_shuffled(spark):
+    """Only rows of repeated keys (a NULL is one) reach the window; the ranks are those of a plain window."""
+    rows = spark.createDataFrame(
+        [(f"k{i}", i) for i in range(300)] + [("k7", 300), ("k7", 301), ("k8", -1), (None, 1), (None, 2), ("", 3)], "k string, v int",
+    ).withColumn("ingestion_timestamp", F.lit(T0).cast("timestamp"))
+    ranked = rank_within_key(rows, ["k"])
+    plain = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("k").orderBy("v")))
+    assert sorted(map(str, ranked.select("k", "v", "_rank").collect())) == sorted(map(str, plain.select("k", "v", "_rank").collect()))
+
+    counted = rows.groupBy(F.col("k").alias("_k0")).agg(F.count(F.lit(1)).alias("_n"))
+    again = _may_repeat(rows, ["k"], _note_repeated(counted, ["_k0"])).where("_again")
+    assert sorted((str(r.k), r.v) for r in again.collect()) == sorted(
+        [("k7", 7), ("k7", 300), ("k7", 301), ("k8", 8), ("k8", -1), ("None", 1), ("None", 2)])
+
+
+def test_keys_that_share_a_bit_are_told_apart(spark, monkeypatch):
+    """With two bits most rows of other keys are taken along, and ranked first."""
+    monkeypatch.setattr("silverlode.operators.dedupe.NOTED_BITS", 2)
+    rows = spark.range(0, 120, 1, 4).select(
+        F.least("id", F.lit(100)).alias("a"), (F.col("id") % 2 == 0).alias("b"), F.col("id").alias("v"),
+        F.lit(T0).cast("timestamp").alias("ingestion_timestamp"))
+    alive = F.col("v") != 110
+    ranked = rank_within_key(rows, ["a", "b"], alive=alive)
+    plain = rows.where(alive).withColumn("_rank", F.row_number().over(Window.partitionBy("a", "b").orderBy("v")))
+    assert {r.v: r._rank for r in ranked.collect()} == {**{r.v: r._rank for r in plain.collect()}, 110: 2}
+    assert ranked.count() == 120

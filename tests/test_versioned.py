@@ -6,7 +6,7 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
-from silverlode.operators import VersionedTable, merge_by_key
+from silverlode.operators import VersionedTable, merge_by_key, versioned
 from silverlode.operators.layout import bucket_of, interleave, zorder
 from silverlode.operators.versioned import VersionNotFound, check_append, compare, compare_changed
 
@@ -92,6 +92,22 @@ def test_upsert_on_two_keys_matches_plain_merge(spark, table):
     assert rows(table.read().select("a", "b", "v")) == rows(expected.select("a", "b", "v"))
 
 
+def test_rows_of_the_last_upsert_are_not_looked_up(spark, table, monkeypatch):
+    """Nothing can have replaced them: only what came before is joined to the upserted keys."""
+    table.upsert(kv(spark, ("a", 1), ("b", 1)), ["id"])
+    table.upsert(kv(spark, ("b", 2), ("c", 2), (None, 2)), ["id"])
+    table.upsert(kv(spark, ("c", 3), ("d", 3), (None, 3)), ["id"])
+    table.append(kv(spark, ("d", 4)))
+    looked_up, plain = [], versioned.resolve_upserts
+    monkeypatch.setattr(versioned, "resolve_upserts", lambda rows, *a: looked_up.append(rows) or plain(rows, *a))
+    now = [("a", 1), ("b", 2), ("c", 3), ("d", 3), ("d", 4), (None, 2), (None, 3)]
+    assert rows(table.read()) == now
+    assert rows(looked_up[0].select("id", "value")) == [("a", 1), ("b", 1), ("b", 2), ("c", 2), (None, 2)]
+    assert rows(table.read_since(1, 3)) == [("c", 3), ("d", 3), ("d", 4), (None, 3)] and len(looked_up) == 1
+    table.compact()
+    assert rows(table.read()) == now
+
+
 def test_restore_copies_nothing_and_keeps_history(spark, table):
     table.upsert(kv(spark, ("1", 1), ("2", 2)), ["id"])
     table.upsert(kv(spark, ("1", 9)), ["id"])
