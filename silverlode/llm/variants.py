@@ -15,6 +15,9 @@ Groups of many words with one signature are split exactly: one edit in words of
 first or the last ``ANCHOR`` of them alone, so every signature comes twice, with the word's beginning and with
 its end, and a pair whose beginnings agree counts there alone.  What adaptive execution still finds skewed in the join it splits.
 
+No join here is broadcast: Spark sizes a table by its compressed files, and rows made by an explode as if they were not more, so it would
+bring far more to the driver than its limit says.
+
 Counts cover every run of letters of every text (``vocabulary``): runs are counted in the task that reads them
 before they are shuffled, so a word in a third of all places is one row a task.
 
@@ -84,7 +87,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     b = a.select("sig", F.col("word").alias("other"), F.col("n").alias("other_n"), F.col("cells").alias("other_cells"))
     bits = " + ".join(f"IF(cells & {((1 << CELL) - 1) << CELL * p}L = other_cells & {((1 << CELL) - 1) << CELL * p}L, 0, {1 << p})" for p in range(PARTS))
     first = f"get(array({', '.join(map(str, _FIRST))}), {bits})"
-    found = a.join(b, "sig").filter(
+    found = a.join(b.hint("merge"), "sig").filter(
         f"word < other AND abs(length(word) - length(other)) <= 1 AND sig & 63 = 2 * {first} + IF(left(word, {ANCHOR}) = left(other, {ANCHOR}), 0, 1) "
         "AND levenshtein(word, other, 1) = 1")
     both = ("array(named_struct('word', word, 'n', n, 'other', other, 'other_n', other_n), "
@@ -98,7 +101,7 @@ def roots(forms: DataFrame) -> tuple[DataFrame, list[str]]:
     paths = [path]
     while True:
         up = now.select(F.col("word").alias("_w"), F.col("root").alias("_r"))
-        nxt = now.join(up, F.col("root") == F.col("_w"), "left").select(
+        nxt = now.join(up.hint("merge"), F.col("root") == F.col("_w"), "left").select(
             "word", F.coalesce("_r", "root").alias("root"), F.col("_r").isNotNull().alias("moved"))
         nxt, path = written(nxt, "variant-roots")
         paths.append(path)
@@ -119,7 +122,7 @@ def variants(docs: DataFrame, ratio: int = RATIO, **options) -> DataFrame:
     best, path = written(best, "variant-forms")
     paths.append(path)
     ends, more = roots(best.filter("form IS NOT NULL").select("word", "form"))
-    out = words.join(best, "word", "left").join(ends, "word", "left").select(
+    out = words.join(best.hint("merge"), "word", "left").join(ends.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n")
     out, _ = written(out, "variants")
     forget(docs.sparkSession, *paths, *more)

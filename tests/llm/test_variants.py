@@ -85,3 +85,10 @@ def test_damage(spark):
     assert got == brute_words(of(docs), damage=3, min_count=1)
     got = {r.word: r.n for r in variants.vocabulary(docs, damage=1, min_count=1).collect()}
     assert got == brute_words(of(docs), damage=1, min_count=1)
+
+
+def test_signatures_are_not_broadcast(spark):
+    """Spark sizes them by the words they are made of, a twentieth of their rows."""
+    words = spark.createDataFrame([("absolute", 9), ("absolut", 8)], "word string, n long")
+    plan = variants.near_pairs(words)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
