@@ -87,8 +87,8 @@ def test_damage(spark):
     assert got == brute_words(of(docs), damage=1, min_count=1)
 
 
-def test_signatures_are_not_broadcast(spark):
+def test_signatures_are_not_broadcast(spark, tmp_path):
     """Spark sizes them by the words they are made of, a twentieth of their rows."""
-    words = spark.createDataFrame([("absolute", 9), ("absolut", 8)], "word string, n long")
-    plan = variants.near_pairs(words)._jdf.queryExecution().executedPlan().toString()
+    spark.createDataFrame([("absolute", 9), ("absolut", 8)], "word string, n long").write.parquet(f"{tmp_path}/words")
+    plan = variants.near_pairs(spark.read.parquet(f"{tmp_path}/words"))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Broadcast" not in plan
