@@ -80,10 +80,13 @@ def _with_metrics(
     dimension: DataFrame, metrics: DataFrame | None, key: str, zero: dict[str, str], dates: list[str]
 ) -> DataFrame:
     """Attach metrics to every row of a dimension; no sales means zero, without a
-    date.  Without any transactions table there are no date columns at all."""
+    date.  Without any transactions table there are no date columns at all.
+
+    Both sides have a row for every key; neither is broadcast, here or in the other joins of
+    metrics with attributes, as Spark takes a few columns of compressed files for far less than they are."""
     if metrics is None:
         return dimension.withColumns({n: F.lit(0).cast(t) for n, t in zero.items()})
-    joined = dimension.join(metrics.select(key, *zero, *dates), key, "left")
+    joined = dimension.join(metrics.select(key, *zero, *dates).hint("merge"), key, "left")
     return joined.withColumns({n: F.coalesce(F.col(n), F.lit(0).cast(t)) for n, t in zero.items()})
 
 
@@ -274,7 +277,7 @@ def customer_segments(
     names = customers.select(
         "customer_id", attribute("customer_name").alias("customer_name"),
         attribute("segment").alias("original_segment"))
-    return stamped(scored.withColumn("segment", segment).join(names, "customer_id", "left"), now)
+    return stamped(scored.withColumn("segment", segment).join(names.hint("merge"), "customer_id", "left"), now)
 
 
 def product_performance(
@@ -283,7 +286,7 @@ def product_performance(
     attributes = products.select("product_id", "product_name", "category", "price", "cost")
     margin = F.try_divide("total_profit", "total_revenue") * 100
     return stamped(
-        metrics.join(attributes, "product_id", "left").withColumn("profit_margin", margin), now)
+        metrics.join(attributes.hint("merge"), "product_id", "left").withColumn("profit_margin", margin), now)
 
 
 # -- reports -------------------------------------------------------------------

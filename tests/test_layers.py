@@ -303,6 +303,21 @@ def test_dimension_metrics(spark, sold):
     assert "last_transaction_date" not in bare.columns and bare.first().total_transactions == 0
 
 
+def test_metrics_and_attributes_are_joined_without_a_broadcast(spark, sold, tmp_path):
+    """Both have a row a key, and their compressed files say little about how large they are."""
+    def stored(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    people = spark.createDataFrame([("C1", "A", "GOLD")], "customer_id string, customer_name string, segment string")
+    things = spark.createDataFrame([("P1", "Kettle", "KITCHEN", 2.0, 1.0, 5)], "product_id string, product_name string, category string, price double, cost double, stock_quantity int")
+    people, things = stored(people, "people"), stored(things, "things")
+    bought, moved = stored(gold.customer_metrics(sold), "bought"), stored(gold.product_metrics(sold), "moved")
+    for df in (gold.dim_customers(people, bought), gold.customer_segments(bought, people), gold.dim_products(things, moved), gold.product_performance(moved, things)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_product_performance(spark):
     sold = spark.createDataFrame([
         ("k1", "C1", "P1", T(2019, 1, 3), 48.4, 1, 0.0, 27.25, "COMPLETED"),

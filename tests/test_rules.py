@@ -215,6 +215,16 @@ def test_rows_without_a_foreign_key_do_not_meet_in_one_task(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_a_reference_is_not_broadcast(spark, tmp_path):
+    """Its keys are one column of a table whose compressed size says little about them."""
+    spark.createDataFrame([("a",), ("b",)], "customer_id string").write.parquet(f"{tmp_path}/ref")
+    ref = spark.read.parquet(f"{tmp_path}/ref")
+    rows = spark.createDataFrame([("a", 1), ("c", 2), (None, 3)], "customer_id string, v int")
+    plan = Ruleset([ForeignKey("customer_id", ref)]).tag(rows)._jdf.queryExecution().executedPlan().toString()
+    kinds = [line.split(" [")[0].split()[-1] for line in plan.splitlines() if "Join [" in line and "LeftAnti" in line]
+    assert kinds and set(kinds) == {"SortMergeJoin"}
+
+
 def test_foreign_key_looks_up_values_as_the_join_compares_them(spark):
     ref = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     rows = spark.createDataFrame([("1",), ("01",), ("3",), (None,)], "k string")
