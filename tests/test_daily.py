@@ -92,3 +92,25 @@ def test_a_run_that_died_leaves_no_stale_day(spark, lake, monkeypatch):
     assert run(spark, lake) == ["p2024-03-08"]
     check(spark, lake)
     assert VersionedTable(spark, lake.path("quarantine", "transactions")).read().count() == 2
+
+
+def test_a_stored_batch_is_not_written_again(spark, lake, monkeypatch):
+    """The verdict is stored by then, so silver's merge reads its rows from there; what gold merges is worked out once."""
+    from silverlode.operators import partitioned
+
+    staged = []
+
+    class Noted(partitioned.Stage):
+        def __init__(self, df, *args, **more):
+            staged.append(df.columns)
+            super().__init__(df, *args, **more)
+
+    monkeypatch.setattr(partitioned, "Stage", Noted)
+    send(spark, lake, tx(1, "2024-03-01"), tx(2, "2024-03-02"))
+    run(spark, lake)
+    send(spark, lake, tx(1, "2024-03-02", amount=20.0), tx(3, "2024-03-05"))
+    assert run(spark, lake) == ["p2024-03-01", "p2024-03-02", "p2024-03-05"]
+    silver = daily.silver_days(spark, lake).read()
+    assert sorted((r.transaction_id, str(r.transaction_timestamp)[:10], r.final_amount) for r in silver.collect()) == [
+        ("T1", "2024-03-02", 20.0), ("T2", "2024-03-02", 10.0), ("T3", "2024-03-05", 10.0)]
+    assert len(staged) == 4 and not any("transaction_id" in columns for columns in staged)
